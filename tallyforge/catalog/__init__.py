@@ -1,0 +1,4 @@
+"""All registered queries."""
+
+from . import clicklog, surveys  # noqa: F401
+from .registry import QUERIES  # noqa: F401

@@ -7,7 +7,7 @@ from pyspark.ml.feature import PCA, MinMaxScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.profile import _q
+from ..operators.profile import _q, beside
 
 
 def vector_scaler(columns: list[str], out: str = "features") -> Pipeline:
@@ -27,25 +27,27 @@ def scale_features(df: DataFrame, label: str = "churn", key: str = "userId") ->
 
 def min_max_scale(df: DataFrame, columns: list[str]) -> DataFrame:
     """Listed columns scaled to [0, 1]; a constant column gives 0. The range is a scalar subquery."""
-    s = df.agg(F.struct(*[
+    ranges = df.agg(F.struct(*[
         F.struct(F.min(_q(c)).cast("double").alias("lo"), F.max(_q(c)).cast("double").alias("hi")).alias(c) for c in columns
-    ]).alias("s")).scalar()
-    return df.withColumns({
+    ]))
+    s = F.col("_ranges")
+    return beside(df, "_ranges", ranges).withColumns({
         c: F.when(s[c]["hi"] == s[c]["lo"], F.when(_q(c).isNotNull(), 0.0))
         .otherwise((_q(c) - s[c]["lo"]) / (s[c]["hi"] - s[c]["lo"]))
         for c in columns
-    })
+    }).drop("_ranges")
 
 
 def standardize(train: DataFrame, others: list[DataFrame], columns: list[str]) -> list[DataFrame]:
     """Zero mean and unit population deviation, measured on ``train`` and applied to all tables."""
-    s = train.agg(F.struct(*[
+    scales = train.agg(F.struct(*[
         F.struct(F.avg(_q(c)).alias("mean"), F.stddev_pop(_q(c)).alias("std")).alias(c) for c in columns
-    ]).alias("s")).scalar()
+    ]))
+    s = F.col("_scales")
     return [
-        t.withColumns({
+        beside(t, "_scales", scales).withColumns({
             c: (_q(c) - s[c]["mean"]) / F.when(s[c]["std"] == 0, 1.0).otherwise(s[c]["std"]) for c in columns
-        })
+        }).drop("_scales")
         for t in [train, *others]
     ]
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from .. import fixed_values as fixed
 from ..schemas import text_columns
 from .clean import impute_rounded
-from .profile import _q, missing
+from .profile import _q, beside, missing
 
 DECIMALS = 1000  # shares keep three decimals, rounded half-even
 
@@ -99,9 +99,8 @@ def compare_groups(df: DataFrame, field: str, group: str, values: list, norm: st
         divisors = rows.agg(F.struct(F.count_if(g == v0).alias("d0"), F.count_if(g == v1).alias("d1")))
     else:
         raise ValueError(f"norm must be rows or choices, not {norm!r}")
-    d = divisors.scalar()
-    share0, share1 = rounded_share(F.col("n0"), d["d0"]), rounded_share(F.col("n1"), d["d1"])
-    return counts.filter("n0 > 0 and n1 > 0").select(
+    share0, share1 = [rounded_share(F.col(f"n{i}"), F.col(f"_d.d{i}")) for i in (0, 1)]
+    return beside(counts.filter("n0 > 0 and n1 > 0"), "_d", divisors).select(
         "choice",
         share1.alias(f"{group}_{v1}_perc"),
         share0.alias(f"{group}_{v0}_perc"),
@@ -139,44 +138,44 @@ def bin_midpoints(df: DataFrame, column: str, bins: int, impute: bool = True) ->
     """
     rows = impute_rounded(df, [column]) if impute else df
     x = _q(column)
-    stats = rows.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).select(
-        "lo", "hi", ((F.col("hi") - F.col("lo")) / bins).alias("w")
-    ).select("lo", "hi", "w", bin_edges(F.col("lo"), F.col("hi"), F.col("w"), bins).alias("edges"))
-    s = stats.select(F.struct("lo", "hi", "w", "edges")).scalar()
+    stats = rows.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
+    edges = stats.select("lo", "hi", bin_edges("lo", "hi", bins).alias("edges")).select(F.struct("lo", "hi", "edges"))
+    lo, hi, edge = F.col("_s.lo"), F.col("_s.hi"), lambda i: F.get("_s.edges", i)
     # The arithmetic guess is off by one bin at most: where rounding moved an edge past the value.
-    guess = F.greatest(F.least(F.ceil((x - s["lo"]) / s["w"]), F.lit(bins)), F.lit(1)).cast("int")
-    edges = s["edges"]
-    index = (
-        F.when((guess > 1) & (x <= F.get(edges, guess - 1)), guess - 1)
-        .when((guess < bins) & (x > F.get(edges, guess)), guess + 1)
-        .otherwise(guess)
+    guess = F.ceil((x - lo) / F.nullif((hi - lo) / bins, F.lit(0.0)))
+    g, i = F.col("_guess"), F.col("_bin")
+    placed = beside(rows, "_s", edges).withColumn(
+        "_guess", F.greatest(F.least(guess, F.lit(bins)), F.lit(1)).cast("int")
+    ).withColumn(
+        "_bin",
+        F.when((g > 1) & (x <= edge(g - 1)), g - 1).when((g < bins) & (x > edge(g)), g + 1).otherwise(g),
     )
-    left, right = F.get(edges, index - 1), F.get(edges, index)
+    left, right = edge(i - 1), edge(i)
     middle = F.when((x >= left) & (x <= right), F.rint((left + right) / 2)).otherwise(F.rint(x))
-    return rows.withColumn(
-        f"{column}Categorized", F.when(s["lo"] == s["hi"], F.rint(x)).otherwise(middle)
-    )
+    return placed.withColumn(
+        f"{column}Categorized", F.when(lo == hi, F.rint(x)).otherwise(middle)
+    ).drop("_s", "_guess", "_bin")
 
 
-def bin_edges(lo: Column, hi: Column, width: Column, bins: int) -> Column:
+def bin_edges(lo: str, hi: str, bins: int) -> Column:
     """The ``bins + 1`` rounded edges, with the fewest decimals (from three) that keep them apart."""
-    raw = F.transform(
-        F.sequence(F.lit(0), F.lit(bins)),
-        lambda i: F.when(i == 0, lo - (hi - lo) * 0.001).when(i == bins, hi).otherwise(lo + width * i),
-    )
+    low, high = F.col(lo), F.col(hi)
+
+    def raw(i: Column) -> Column:
+        return F.when(i == 0, low - (high - low) * 0.001).when(i == bins, high).otherwise(low + (high - low) / bins * i)
 
-    def rounded(digits: int) -> Column:
-        return F.transform(raw, lambda e: round_edge(e, digits))
+    def rounded(digits: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(bins)), lambda i: round_edge(raw(i), digits))
 
-    out = rounded(19)
-    for digits in range(18, 2, -1):
-        out = F.when(F.size(F.array_distinct(rounded(digits))) == bins + 1, rounded(digits)).otherwise(out)
-    return out
+    trials = F.transform(F.sequence(F.lit(3), F.lit(19)), rounded)
+    apart = F.filter(trials, lambda t: F.size(F.array_distinct(t)) == bins + 1)
+    return F.coalesce(F.get(apart, F.lit(0)), F.get(trials, F.lit(0)))
 
 
-def round_edge(e: Column, digits: int) -> Column:
+def round_edge(e: Column, digits: Column) -> Column:
+    """Rounded half-even to ``digits`` decimals; below 1 to as many significant digits."""
     small = (F.abs(e) < 1) & (e != 0)
-    places = F.when(small, digits - 1 - F.floor(F.log10(F.abs(e)))).otherwise(F.lit(digits))
+    places = F.when(small, digits - 1 - F.floor(F.log10(F.abs(e)))).otherwise(digits)
     scale = F.pow(F.lit(10.0), places)
     return F.when(e == 0, F.lit(0.0)).otherwise(F.rint(e * scale) / scale)
 

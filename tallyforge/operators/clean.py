@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fixed
 from ..functions import exprs as E
 from ..schemas import numeric_columns, text_columns
-from .profile import _q, blank, missing
+from .profile import _q, beside, blank, missing
 
 
 def drop_incomplete(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -45,26 +45,21 @@ def fill_constants(df: DataFrame, values: dict) -> DataFrame:
     return df.fillna(values)
 
 
-def column_means(df: DataFrame, columns: list[str]) -> Column:
-    """One-row struct of column means as a scalar subquery: no driver round trip."""
-    return df.agg(F.struct(*[
-        F.avg(F.when(~missing(df, c), _q(c))).alias(c) for c in columns
-    ]).alias("means")).scalar()
-
-
 def fill_means(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Missing numbers become the column mean."""
     columns = columns or numeric_columns(df)
-    means = column_means(df, columns)
-    return df.withColumns({
-        c: F.when(missing(df, c), means[c]).otherwise(_q(c).cast("double")) for c in columns
-    })
+    means = df.agg(F.struct(*[F.avg(F.when(~missing(df, c), _q(c))).alias(c) for c in columns]))
+    return beside(df, "_means", means).withColumns({
+        c: F.when(missing(df, c), F.col("_means")[c]).otherwise(_q(c).cast("double")) for c in columns
+    }).drop("_means")
 
 
 def impute_rounded(df: DataFrame, columns: list[str]) -> DataFrame:
     """Each value read as a number and rounded half-even; anything else gets the rounded mean."""
-    means = df.agg(F.struct(*[F.avg(E.finite(_q(c))).alias(c) for c in columns]).alias("means")).scalar()
-    return df.withColumns({c: F.rint(F.coalesce(E.finite(_q(c)), means[c])) for c in columns})
+    means = df.agg(F.struct(*[F.avg(E.finite(_q(c))).alias(c) for c in columns]))
+    return beside(df, "_means", means).withColumns({
+        c: F.rint(F.coalesce(E.finite(_q(c)), F.col("_means")[c])) for c in columns
+    }).drop("_means")
 
 
 def words_to_numbers(df: DataFrame, words: dict[str, dict[str, float]]) -> DataFrame:

@@ -26,6 +26,14 @@ def melt(df: DataFrame, columns: list[str], name: str, value: str, kind: str) ->
     return df.select([_q(c).cast(kind).alias(c) for c in columns]).unpivot([], [f"`{c}`" for c in columns], name, value)
 
 
+def beside(df: DataFrame, name: str, one_row: DataFrame) -> DataFrame:
+    """Adds the single value of a one-row table as a column: a scalar subquery that runs once.
+
+    Kept as a column, the subquery appears once in the plan however often it is used.
+    """
+    return df.withColumn(name, one_row.scalar())
+
+
 def missing(df: DataFrame, name: str) -> Column:
     """True for null, and for NaN in floating columns."""
     c = _q(name)
@@ -196,12 +204,12 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: str | None = None,
     frame = edges.select(F.inline("e")).filter("lo is not null").select(
         F.col("class").alias("_class"), "lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")
     )
-    e = edges.scalar()
     which = F.lit(None)
     for i, k in enumerate(classes):
-        which = F.when(_q(by) == k, F.least(F.width_bucket(x, e[i]["lo"], e[i]["hi"], F.lit(bins)), F.lit(bins))).otherwise(which)
+        e = F.get("_edges", F.lit(i))
+        which = F.when(_q(by) == k, F.least(F.width_bucket(x, e["lo"], e["hi"], F.lit(bins)), F.lit(bins))).otherwise(which)
     counts = (
-        rows.filter(_q(by).isin(classes))
+        beside(rows.filter(_q(by).isin(classes)), "_edges", edges)
         .select(_q(by).alias("_class"), which.cast("int").alias("bin"))
         .groupBy("_class", "bin").agg(F.count(F.lit(1)).alias("n"))
     )
