@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import censuses, clicklog, messaging, surveys  # noqa: F401
+from . import censuses, clicklog, messaging, models, surveys  # noqa: F401
 from .registry import QUERIES  # noqa: F401

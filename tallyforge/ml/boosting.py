@@ -56,13 +56,15 @@ class AdaBoostClassifier(Estimator, _BoostParams):
         learner = DecisionTreeClassifier(
             maxDepth=self.getOrDefault(self.maxDepth), weightCol="w", seed=self.getOrDefault(self.seed)
         )
-        trees, alphas = [], []
+        trees, alphas, done = [], [], None
         for turn in range(1, self.getOrDefault(self.rounds) + 1):
             tree = learner.fit(rows)
             scored = tree.transform(rows)
             wrong = (F.col("prediction") != F.col("label")).cast("double")
             lost, total = scored.agg(F.sum(F.col("w") * wrong), F.sum("w")).first()
             error = lost / total
+            if done is not None:  # the fit above has filled this round's cache
+                done.unpersist()
             if error <= 0:
                 trees, alphas = trees + [tree], alphas + [1.0]
                 break
@@ -78,11 +80,10 @@ class AdaBoostClassifier(Estimator, _BoostParams):
             later = scored.select("features", "label", (F.col("w") * factor * (n / total)).alias("w"))
             if turn % self.getOrDefault(self.checkpointInterval) == 0:
                 later = cut_lineage(later)
-            later = later.persist(StorageLevel.MEMORY_AND_DISK)
-            later.count()
-            rows.unpersist()
-            rows = later
+            done, rows = rows, later.persist(StorageLevel.MEMORY_AND_DISK)
         rows.unpersist()
+        if done is not None:
+            done.unpersist()
         if not trees:
             raise ValueError("the first tree is no better than chance")
         return self._copyValues(AdaBoostModel(trees, alphas, classes))

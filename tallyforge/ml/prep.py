@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from itertools import accumulate
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, MinMaxScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.stat import Correlation
@@ -86,31 +89,26 @@ def vector_correlations(df: DataFrame, names: list[str], features: str = "featur
     """(a, b, r) for a <= b of a vector column: one Gramian pass, d x d numbers to the driver."""
     matrix = Correlation.corr(df, features, "pearson").first()[0].toArray()
     rows = [
-        (a, b, float(matrix[i, j])) for i, a in enumerate(names) for j, b in enumerate(names) if i <= j
+        (a, b, None if math.isnan(matrix[i, j]) else float(matrix[i, j])) for i, a in enumerate(names) for j, b in enumerate(names) if i <= j
     ]
     return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
-def principal_components(
+def fit_components(
     df: DataFrame, share: float = 0.95, max_k: int | None = None, features: str = "features", out: str = "pcaFeatures"
-) -> tuple[DataFrame, int, list[float]]:
-    """The fewest components that explain ``share`` of the variance.
+) -> tuple[PipelineModel, list[float]]:
+    """(model, shares): the fewest components that explain ``share`` of the variance.
 
     One fit at the largest k gives all shares; the vector is then cut, not fitted again.
     """
     size = max_k or _vector_size(df, features)
-    model = PCA(k=size, inputCol=features, outputCol="_all").fit(df)
+    model = PCA(k=size, inputCol=features, outputCol="allComponents").fit(df)
     explained = [float(x) for x in model.explainedVariance]
-    total, k = 0.0, None
-    for i, x in enumerate(explained, 1):
-        total += x
-        if total >= share - 1e-12:
-            k = i
-            break
-    if k is None:
-        raise ValueError(f"{size} components explain {total:.4f}, less than {share}")
-    cut = VectorSlicer(inputCol="_all", outputCol=out, indices=list(range(k)))
-    return cut.transform(model.transform(df)).drop("_all"), k, explained
+    reached = [k for k, total in enumerate(accumulate(explained), 1) if total >= share - 1e-12]
+    if not reached:
+        raise ValueError(f"{size} components explain {sum(explained):.4f}, less than {share}")
+    cut = VectorSlicer(inputCol="allComponents", outputCol=out, indices=list(range(reached[0])))
+    return PipelineModel(stages=[model, cut]), explained[:reached[0]]
 
 
 def _vector_size(df: DataFrame, features: str) -> int:
