@@ -8,14 +8,17 @@ from .. import fixed_values as fixed
 from .exprs import _col
 
 # A blank goes between the two parts of each split word.
-_SPLIT_POINT = "|".join(rf"(?<=\b{a})(?={b}\b)" for a, b in fixed.SPLIT_WORDS)
+_SPLIT_POINT = r"\b(" + "|".join(rf"{a}(?={b}\b)" for a, b in fixed.SPLIT_WORDS) + ")"
 
 
 def tokenize(text: Column | str) -> Column:
     """Lower-case runs of latin letters and digits; empty array for a text with none."""
-    plain = F.trim(F.regexp_replace(F.lower(_col(text)), "[^a-z0-9]+", " "))
-    parts = F.split(F.regexp_replace(plain, _SPLIT_POINT, " "), " ")
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(parts)
+    plain = F.regexp_replace(F.lower(_col(text)), "[^a-z0-9]+", " ")
+    # Few texts have a word to split, and a substring test costs far less than the pattern.
+    rare = F.lit(False)
+    for a, b in fixed.SPLIT_WORDS:
+        rare = rare | F.lower(_col(text)).contains(a + b)
+    return F.array_remove(F.split(F.when(rare, F.regexp_replace(plain, _SPLIT_POINT, "$1 ")).otherwise(plain), " "), "")
 
 
 def drop_stop_words(tokens: Column | str, words: list[str] = fixed.STOP_WORDS) -> Column:
@@ -36,3 +39,8 @@ def word_ngrams(tokens: Column | str, upto: int = 1) -> Column:
         lambda a, b: F.concat_ws(" ", a, b),
     )
     return F.concat(t, pairs)
+
+
+def content_words(text: Column | str, ngrams: int = 1) -> Column:
+    """Terms of a text: its tokens without stop words, with pairs of neighbours for ``ngrams=2``."""
+    return word_ngrams(drop_stop_words(tokenize(text)), ngrams)

@@ -59,7 +59,7 @@ def binary_scores(df: DataFrame, beta: float = 0.5, label: str = "label", predic
     cells = df.agg(*[c.alias(n) for n, c in binary_cells(_q(label), _q(prediction)).items()])
     precision, recall = ratio(F.col("tp"), F.col("tp") + F.col("fp")), ratio(F.col("tp"), F.col("tp") + F.col("fn"))
     return cells.select(
-        ((F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"))).alias("accuracy"),
+        ratio(F.col("tp") + F.col("tn"), F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("accuracy"),
         precision.alias("precision"), recall.alias("recall"), f_beta(precision, recall, beta).alias("f_beta"),
     )
 

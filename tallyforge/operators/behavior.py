@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fixed
 from ..functions.exprs import flag
-from .profile import _q
+from .profile import _q, unpivoted
 
 USER, SESSION, ITEM, PAGE = "userId", "sessionId", "itemInSession", "page"
 
@@ -48,8 +48,7 @@ def busiest_sessions(clicks: DataFrame, n: int = 20) -> DataFrame:
 def cancellations_by(clicks: DataFrame, parts: list[str] = ["hour", "weekDay", "monthDay"]) -> DataFrame:
     """(part, value, n) of the churn events over several time parts, in one pass."""
     rows = clicks.filter(F.col(PAGE) == fixed.CHURN_PAGE)
-    cells = F.array(*[F.struct(F.lit(p).alias("part"), _q(p).cast("bigint").alias("value")) for p in parts])
-    return rows.select(F.inline(cells)).groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
+    return unpivoted(rows, [], parts, "part", "value", "bigint").groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def session_lengths(clicks: DataFrame, churned: DataFrame) -> DataFrame:
@@ -72,10 +71,8 @@ def churn_frequency(clicks: DataFrame, churned: DataFrame, columns: list[str]) -
     Events collapse to one row per user and value before the label join, so neither the join
     nor the second count sees the raw log.
     """
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), _q(c).cast("string").alias("value")) for c in columns])
-    per_user = (
-        clicks.select(USER, F.inline(cells)).groupBy(USER, "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
+    cells = unpivoted(clicks, [USER], columns, "column_name", "value", "string")
+    per_user = cells.groupBy(USER, "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     return with_churn(per_user, churned).groupBy("column_name", "value", "churn").agg(F.sum("n").alias("n"))
 
 
@@ -196,7 +193,7 @@ def user_features(
         *[piece for side, name in [(by_month, "Month"), (by_day, "Day")] for piece in (
             F.avg(F.when(side & (F.col("_sessions") > 0), F.col("_sessions"))).alias(f"avgSessions{name}"),
             F.avg(F.when(side, F.col("_seconds"))).alias(f"avgSession{name}Duration"),
-            (F.sum(F.when(side, F.col("_tops"))) / F.sum(F.when(side, F.col("_n_tops")))).alias(f"avgSessionitems{name}"),
+            F.try_divide(F.sum(F.when(side, F.col("_tops"))), F.sum(F.when(side, F.col("_n_tops")))).alias(f"avgSessionitems{name}"),
         )],
         ((F.max("_last") - F.min("_registered")) / 1000).alias("activeDuration"),
         F.try_divide(total("_length"), total("_songs")).alias("avgLength"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import has_word
-from .profile import _q, melt
+from .profile import _q, unpivoted
 
 
 def class_profile(df: DataFrame, column: str, high: str, low: str) -> DataFrame:
@@ -14,18 +14,13 @@ def class_profile(df: DataFrame, column: str, high: str, low: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_records"),
         F.count_if(_q(column) == high).alias("n_greater_50k"),
         F.count_if(_q(column) == low).alias("n_at_most_50k"),
-    ).withColumn("greater_percent", F.col("n_greater_50k") * 100 / F.col("n_records"))
+    ).withColumn("greater_percent", F.try_divide(F.col("n_greater_50k") * 100, F.col("n_records")))
 
 
 def mean_by_dimensions(df: DataFrame, value: str, group: str, dimensions: list[str]) -> DataFrame:
     """(group, dimension, level, mean) for many dimensions in one scan and one shuffle."""
-    cells = F.array(*[
-        F.struct(F.lit(d).alias("dimension"), _q(d).cast("string").alias("level")) for d in dimensions
-    ])
-    return (
-        df.select(_q(group), _q(value).alias("_v"), F.inline(cells))
-        .groupBy(_q(group), "dimension", "level").agg(F.avg("_v").alias("mean_value"))
-    )
+    cells = unpivoted(df, [group, value], dimensions, "dimension", "level", "string")
+    return cells.groupBy(_q(group), "dimension", "level").agg(F.avg(_q(value)).alias("mean_value"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -21,9 +21,11 @@ def _is_float(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType))
 
 
-def melt(df: DataFrame, columns: list[str], name: str, value: str, kind: str) -> DataFrame:
-    """One-row wide result to (name, value) rows."""
-    return df.select([_q(c).cast(kind).alias(c) for c in columns]).unpivot([], [f"`{c}`" for c in columns], name, value)
+def unpivoted(df: DataFrame, ids: list[str], columns: list[str], name: str, value: str, kind: str) -> DataFrame:
+    """(ids, name, value) rows, one for each listed column, all values cast to one type."""
+    return df.select(*[_q(c) for c in ids], *[_q(c).cast(kind).alias(f"_v_{c}") for c in columns]).unpivot(
+        [_q(c) for c in ids], [_q(f"_v_{c}") for c in columns], name, value
+    ).withColumn(name, F.substring(_q(name), F.lit(4), F.length(_q(name))))
 
 
 def beside(df: DataFrame, name: str, one_row: DataFrame) -> DataFrame:
@@ -50,7 +52,7 @@ def blank(df: DataFrame, name: str) -> Column:
 def blank_counts(df: DataFrame) -> DataFrame:
     """(column_name, n_blank) for every column, in one pass."""
     wide = df.agg(*[F.count_if(blank(df, c)).alias(c) for c in df.columns])
-    return melt(wide, df.columns, "column_name", "n_blank", "bigint")
+    return unpivoted(wide, [], df.columns, "column_name", "n_blank", "bigint")
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -75,7 +77,7 @@ def missing_shares(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     """(OutlierLabels, OutlierValues): missing share of each column, in one pass."""
     columns = columns or df.columns
     wide = df.agg(*[F.avg(missing(df, c).cast("int")).alias(c) for c in columns])
-    return melt(wide, columns, "OutlierLabels", "OutlierValues", "double")
+    return unpivoted(wide, [], columns, "OutlierLabels", "OutlierValues", "double")
 
 
 def sparse_columns(df: DataFrame, above: float = 0.15, columns: list[str] | None = None) -> DataFrame:
@@ -231,15 +233,21 @@ def half_unit(field: str) -> Column:
 # -- correlation -------------------------------------------------------------------------------
 
 
+def pearson(a: Column, b: Column) -> Column:
+    """Correlation as an aggregate; ``corr`` itself fails on a constant column in ANSI mode."""
+    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def correlations(df: DataFrame, columns: list[str] | None = None, by: str | None = None) -> DataFrame:
-    """(a, b, r) for a <= b in column order, each pair over its own complete rows.
+    """(a, b, r) for a <= b in column order, each pair over its own complete rows; null without spread.
 
-    One pass whatever the number of pairs; only six numbers a pair and task are shuffled.
+    One pass whatever the number of pairs; only a few numbers a pair and task are shuffled.
     """
     columns = columns or [c for c in numeric_columns(df) if c != by]
     clean = {c: F.when(~missing(df, c), _q(c).cast("double")) for c in columns}
     pairs = F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.nanvl(F.corr(clean[a], clean[b]), F.lit(None)).alias("r"))
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), pearson(clean[a], clean[b]).alias("r"))
         for a, b in combinations_with_replacement(columns, 2)
     ])
     grouped = df.groupBy(_q(by).alias(by)) if by else df.groupBy()
