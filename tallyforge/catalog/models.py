@@ -255,7 +255,7 @@ def message_grid(spark, folder):
     base = LogisticRegression(maxIter=5)
     pipeline = message_model(base, LABELS[:2])
     terms, counts = pipeline.getStages()[:2]
-    grid = [{terms.ngrams: n, counts.maxDF: d, counts.vocabSize: v} for n, d, v in [(1, 0.8, 2000), (2, 1.0, 10_000)]]
+    grid = [{terms.ngrams: n, counts.maxDF: Tm.df_limit(d), counts.vocabSize: v} for n, d, v in [(1, 0.8, 2000), (2, 1.0, 10_000)]]
     return Tu.grid_search(pipeline, grid, Mo.AllLabelsRight(LABELS[:2]), train, "id", folds=3, parallelism=2)[1]
 
 

@@ -28,7 +28,7 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParam
     @keyword_only
     def __init__(self, *, inputCol="features", outputCol="fourier", gamma=1.0, dimensions=256, seed=42):
         super().__init__()
-        self._setDefault(gamma=1.0, dimensions=256, seed=42)
+        self._setDefault(inputCol="features", outputCol="fourier", gamma=1.0, dimensions=256, seed=42)
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
