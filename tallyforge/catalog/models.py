@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..functions.text import tokenize
+from ..functions.text import content_words
 from ..ml import evaluate as Ev
 from ..ml import models as Mo
 from ..ml import neighbours as N
@@ -29,9 +28,9 @@ from ..sources.models import load_model, save_model
 from ..streaming.scoring import score_stream
 from ..workspace import scratch_path
 from .clicklog import DUMMY_COLUMNS, FEATURE_COLUMNS, FEATURES_CTE, PAGE_COLUMNS, user_features
-from .messaging import clean
+from .messaging import CONTENT_SQL, DOC_TERMS_SQL, clean
 from .registry import query, rounded, table
-from .stand_ins import LABELS, census, messages, packed_labels, survey
+from .stand_ins import LABELS, census, flagged_sql, messages, packed_labels, survey
 
 ALL_FEATURES = FEATURE_COLUMNS + DUMMY_COLUMNS + PAGE_COLUMNS
 VALUES = {"workclass": ["Private", "Self-emp", "State-gov"], "sex": ["Female", "Male"]}
@@ -71,10 +70,18 @@ def stratified_users(spark, folder):
     return Pr.stratified_sample(rows, "label", {0.0: 0.8, 1.0: 0.8}, 123)
 
 
-@query("W14")
+_HOT = [("MainBranch", c) for c in ["Iamadeveloperbyprofession", "Icodeprimarilyasahobby"]] + [
+    ("OrgSize", c) for c in ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]] + [
+    ("LanguageWorkedWith", c) for c in ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOTSPECIFIED", "5-LOW", "nan"]]
+
+
+@query("W14 W12 P15", f"WITH {flagged_sql()} " + 'SELECT "Respondent", "HigherEd"::double AS "HigherEd", "JobSatisfied", ' + ", ".join(
+    f'round(coalesce("{c}", avg("{c}") OVER ()), 6) AS "{c}"' for c in ("ConvertedComp", "Age")) + ", " + ", ".join(
+    f"""CASE WHEN list_contains(string_split(replace(coalesce("{f}", 'nan'), ' ', ''), ';'), '{c}') THEN 1.0::double ELSE 0 END AS "{f}_{c}\"""" for f, c in _HOT) + " FROM survey")
 def survey_modelling_table(spark, folder):
-    return modelling_table(with_flags(survey(spark, folder)), "JobSatisfied", "Respondent", categories=True,
-                           columns=["MainBranch", "HigherEd", "LanguageWorkedWith", "OrgSize", "ConvertedComp", "Age"])
+    out = modelling_table(with_flags(survey(spark, folder)), "JobSatisfied", "Respondent", categories=True, cutoff=0.05,
+                          columns=["MainBranch", "HigherEd", "LanguageWorkedWith", "OrgSize", "ConvertedComp", "Age"])
+    return rounded(out, "ConvertedComp", "Age")
 
 
 # -- classifiers -------------------------------------------------------------------------------
@@ -186,17 +193,18 @@ def label_neighbours_on_tf_idf(spark, folder):
     return N.vote(N.nearest(test, train, 5, "id", "vector", "quality"))
 
 
-@query("T6")
+@query("T6", f"WITH {CONTENT_SQL} SELECT doc_id AS id, len(tokens)::double AS n_terms FROM words")
 def hashed_term_totals(spark, folder):
     rows = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("message"))
     fitted = Pipeline(stages=Tm.hashed_stages(buckets=1 << 18)).fit(rows).transform(rows)
     return fitted.select("id", F.aggregate(F.unwrap_udt("counts")["values"], F.lit(0.0), lambda a, x: a + x).alias("n_terms"))
 
 
-@query("T4")
+@query("T4", f"""WITH {DOC_TERMS_SQL}, kept AS (SELECT term FROM terms WHERE df <= 0.8 * (SELECT count(*) FROM documents))
+  SELECT d.doc_id, count(k.term)::int AS n_distinct FROM documents d LEFT JOIN counts c ON d.doc_id = c.doc_id LEFT JOIN kept k ON c.term = k.term GROUP BY d.doc_id""")
 def count_vector_sizes(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", tokenize("text").alias("terms"))
-    fitted = CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=10_000, maxDF=0.8).fit(docs)
+    docs = table(spark, folder, "documents").select("doc_id", content_words("text").alias("terms"))
+    fitted = Tm.WordCounts(inputCol="terms", outputCol="counts", vocabSize=Tm.UNLIMITED_WORDS, maxDF=Tm.df_limit(0.8)).fit(docs)
     return fitted.transform(docs).select("doc_id", F.size(F.unwrap_udt("counts")["indices"]).alias("n_distinct"))
 
 

@@ -78,9 +78,11 @@ class AdaBoostClassifier(Estimator, _BoostParams):
                 factor = F.exp(-rate * (classes - 1) / classes * _margin(classes))
             trees, alphas = trees + [tree], alphas + [alpha]
             later = scored.select("features", "label", (F.col("w") * factor * (n / total)).alias("w"))
+            later = later.persist(StorageLevel.MEMORY_AND_DISK)
             if turn % self.getOrDefault(self.checkpointInterval) == 0:
-                later = cut_lineage(later)
-            done, rows = rows, later.persist(StorageLevel.MEMORY_AND_DISK)
+                cached, later = later, cut_lineage(later)
+                cached.unpersist()
+            done, rows = rows, later
         rows.unpersist()
         if done is not None:
             done.unpersist()

@@ -14,6 +14,7 @@ from ..schemas import text_columns
 from .clean import impute_rounded
 from .profile import _q, beside, missing
 
+MAX_COLUMNS = 2000
 DECIMALS = 1000  # shares keep three decimals, rounded half-even
 
 
@@ -199,8 +200,10 @@ def multi_hot(df: DataFrame, cutoff: float = 0.2, fields: list[str] | None = Non
         .select("field", F.explode("choices").alias("choice"))
         .groupBy("field", "choice").agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") / n >= cutoff)
-        .orderBy("field", "choice").collect()
+        .orderBy("field", "choice").limit(MAX_COLUMNS + 1).collect()
     )
+    if len(kept) > MAX_COLUMNS:
+        raise ValueError("too many choices for one column each: raise the cutoff")
     dummies = [
         F.array_contains(cells[f], k.choice).cast("int").alias(f"{f}_{k.choice}")
         for f in fields for k in kept if k.field == f

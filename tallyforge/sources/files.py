@@ -20,11 +20,14 @@ def read_table_csv(
     columns: list[str] | T.StructType,
     types: dict[str, str] | None = None,
     null_tokens: list[str] = NULL_TOKENS,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with header, quoted cells (which may span lines) and missing-value tokens.
 
     Everything is read as text, tokens become null, and only then are columns cast, so a
-    stray word in a numeric column gives null instead of failing the job.
+    stray word in a numeric column gives null instead of failing the job. A file with cells
+    over several lines is read by one task; for large files without such cells pass
+    ``multi_line=False``, which lets Spark split them.
     """
     if isinstance(columns, T.StructType):
         types = {f.name: f.dataType.simpleString() for f in columns.fields if f.dataType != T.StringType()}
@@ -32,7 +35,7 @@ def read_table_csv(
     text = T.StructType([T.StructField(name, T.StringType()) for name in columns])
     raw = (
         spark.read.schema(text)
-        .option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+        .option("header", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
         .csv(path)
     )
     return typed(null_out(raw, null_tokens), types or {})
