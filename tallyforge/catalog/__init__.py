@@ -1,4 +1,11 @@
 """All registered queries."""
 
+from pyspark import cloudpickle
+
+from ..ml import kernel, neighbours
 from . import censuses, clicklog, messaging, models, surveys  # noqa: F401
 from .registry import QUERIES  # noqa: F401
+
+# The two modules with Python tasks travel with them, so workers need no installed package.
+cloudpickle.register_pickle_by_value(kernel)
+cloudpickle.register_pickle_by_value(neighbours)
