@@ -13,7 +13,8 @@ def operators() -> list[tuple[str, str]]:
         cells = [c.strip() for c in line.split("|")]
         if len(cells) > 4 and re.fullmatch(r"[SPEAWJTM]\d+", cells[1]):
             what = re.sub(r"\*\*\[.*", "", cells[2])
-            found.append((cells[1], what.replace("`", "").split(":")[0][:90].strip()))
+            what = re.sub(r"`[^`]*`", "", what).replace("**", "").split(":")[0].split(" (")[0]
+            found.append((cells[1], what.strip(" ,;→/")))
     return found
 
 

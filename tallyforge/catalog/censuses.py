@@ -13,7 +13,7 @@ from ..operators import grouping as G
 from ..operators import profile as P
 from ..operators.profile import _q
 from .registry import query, rounded
-from .stand_ins import CENSUS_SQL, PREDICTIONS_SQL, census, predictions
+from .stand_ins import CENSUS_SQL, PREDICTIONS_SQL, census, histogram_sql, predictions
 
 CEN = f"WITH {CENSUS_SQL} "
 PRED = f"WITH {PREDICTIONS_SQL} "
@@ -35,10 +35,7 @@ def gain_by_income_and_dimension(spark, folder):
     return rounded(G.mean_by_dimensions(census(spark, folder), "capital-gain", "income", DIMENSIONS), "mean_value", digits=4)
 
 
-@query("A17", CEN + """, e AS (SELECT min("capital-gain") AS lo, max("capital-gain") AS hi FROM census),
-  c AS (SELECT CAST(least(floor(("capital-gain" - lo) / (hi - lo) * 25) + 1, 25) AS int) AS bin, count(*) AS n FROM census, e GROUP BY 1)
-  SELECT CAST(b.bin AS int) AS bin, round(lo + (hi - lo) / 25 * (b.bin - 1), 4) AS bin_left, round(lo + (hi - lo) / 25 * b.bin, 4) AS bin_right, coalesce(n, 0) AS n
-  FROM e, range(1, 26) b(bin) LEFT JOIN c ON c.bin = b.bin""")
+@query("A17", CEN + """, v AS (SELECT "capital-gain" AS x FROM census), """ + histogram_sql("v", 25))
 def gain_histogram(spark, folder):
     return rounded(P.histogram(census(spark, folder), "capital-gain", 25), "bin_left", "bin_right", digits=4)
 

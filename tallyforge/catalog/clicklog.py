@@ -14,7 +14,7 @@ from ..schemas import CLICKS
 from ..sources.files import read_event_log
 from ..workspace import scratch_path
 from .registry import query, rounded
-from .stand_ins import CLICKS_SQL, PAGES, RAW_CLICKS_SQL, clicks, clicks_and_churned, raw_clicks
+from .stand_ins import CLICKS_SQL, PAGES, RAW_CLICKS_SQL, clicks, clicks_and_churned, histogram_sql, raw_clicks
 
 WITH_CHURN = 'CASE WHEN "userId" IN (SELECT "userId" FROM churned) THEN 1 ELSE 0 END AS churn'
 RAW = f"WITH {RAW_CLICKS_SQL} "
@@ -49,6 +49,12 @@ def click_summary(spark, folder):
     return rounded(out, "mean", "std", "q25", "q50", "q75", digits=4)
 
 
+@query("P2", RAW + " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count("{c}") AS n, min("{c}") AS min, max("{c}") AS max FROM raw""" for c in ["page", "location", "artist", "level"]))
+def click_text_summary(spark, folder):
+    return P.text_summary(raw_clicks(spark, folder), ["page", "location", "artist", "level"])
+
+
 @query("P11", RAW + "SELECT DISTINCT * FROM raw")
 def distinct_clicks(spark, folder):
     return C.distinct_rows(raw_clicks(spark, folder))
@@ -165,15 +171,10 @@ def users_per_churn_class(spark, folder):
     return B.users_per_class(*clicks_and_churned(spark, folder))
 
 
-@query("A17 A6", LOG + ', s AS (SELECT "userId", ' + WITH_CHURN + """, count(DISTINCT "sessionId")::double AS x FROM clicks GROUP BY "userId"),
-  e AS (SELECT churn, min(x) - CASE WHEN min(x) = max(x) THEN 0.5 ELSE 0 END AS lo, max(x) + CASE WHEN min(x) = max(x) THEN 0.5 ELSE 0 END AS hi FROM s GROUP BY churn),
-  f AS (SELECT churn, lo, (hi - lo) / 10 AS w, CAST(b.bin AS int) AS bin FROM e, range(1, 11) b(bin)),
-  g AS (SELECT s.churn, CAST(least(floor((x - lo) / (hi - lo) * 10) + 1, 10) AS int) AS bin, count(*) AS n FROM s JOIN e ON s.churn = e.churn GROUP BY ALL)
-  SELECT f.churn, f.bin, round(lo + w * (f.bin - 1), 6) AS bin_left, round(lo + w * f.bin, 6) AS bin_right, coalesce(n, 0) AS n
-  FROM f LEFT JOIN g ON f.churn = g.churn AND f.bin = g.bin""")
+@query("A17 A6", LOG + ', s AS (SELECT "userId", ' + WITH_CHURN + """, count(DISTINCT "sessionId")::double AS x FROM clicks GROUP BY "userId"), """ + histogram_sql("s", 10, ["churn"]))
 def sessions_per_user_histogram(spark, folder):
     sessions = B.sessions_per_user(*clicks_and_churned(spark, folder))
-    return rounded(P.histogram(sessions, "n_sessions", 10, by="churn", classes=[0, 1]), "bin_left", "bin_right")
+    return rounded(P.histogram(sessions, "n_sessions", 10, by="churn", classes=[0, 1]), "bin_left", "bin_right", digits=4)
 
 
 # -- features ----------------------------------------------------------------------------------
@@ -326,6 +327,17 @@ def user_feature_table_by_joins(spark, folder):
     return rounded_features(out)
 
 
+HISTOGRAM_COLUMNS = ["avgSessionsDay", "activeDuration", *PAGE_COLUMNS, *DUMMY_COLUMNS]
+
+
+@query("A17", f"WITH {FEATURES_CTE}, v AS (" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, churn, CAST("{c}" AS double) AS x FROM features WHERE "{c}" IS NOT NULL""" for c in HISTOGRAM_COLUMNS
+) + "), " + histogram_sql("v", 10, ["column_name", "churn"]))
+def feature_histograms_by_churn(spark, folder):
+    out = P.histograms(user_features(spark, folder), HISTOGRAM_COLUMNS, 10, by="churn", classes=[0, 1])
+    return rounded(out, "bin_left", "bin_right", digits=4)
+
+
 @query("J6", LOG + """, s AS (SELECT DISTINCT "userId", "sessionId", level FROM clicks)
   SELECT * FROM s EXCEPT SELECT * FROM s WHERE "userId" % 100 < 80""")
 def test_rows_by_difference(spark, folder):

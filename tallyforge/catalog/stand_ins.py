@@ -105,6 +105,18 @@ clicks AS (
   FROM (SELECT DISTINCT * FROM raw) r WHERE r."userId" <> ''),
 churned AS (SELECT DISTINCT "userId" FROM clicks WHERE page = 'Cancellation Confirmation')"""
 
+def histogram_sql(values: str, bins: int, keys: list[str] | None = None, digits: int = 4) -> str:
+    """CTEs and a final select that place ``x`` of the CTE ``values`` into equal-width bins by their edges."""
+    by = "".join(f"{k}, " for k in keys or [])
+    same = " AND ".join([f"b.{k} = v.{k}" for k in keys or []] + ["x >= lft", f"(x < rgt OR b.bin = {bins})"])
+    return f"""edges AS (SELECT {by}min(x) - CASE WHEN min(x) = max(x) THEN 0.5 ELSE 0 END AS lo,
+    max(x) + CASE WHEN min(x) = max(x) THEN 0.5 ELSE 0 END AS hi FROM {values} {"GROUP BY ALL" if keys else ""}),
+  bins AS (SELECT {by}CAST(t.i AS int) AS bin, lo + (hi - lo) / {bins} * (t.i - 1) AS lft, lo + (hi - lo) / {bins} * t.i AS rgt
+    FROM edges, range(1, {bins + 1}) t(i))
+  SELECT {"".join(f"b.{k}, " for k in keys or [])}b.bin, round(b.lft, {digits}) AS bin_left, round(b.rgt, {digits}) AS bin_right, count(x) AS n
+  FROM bins b LEFT JOIN {values} v ON {same} GROUP BY ALL"""
+
+
 # -- survey ------------------------------------------------------------------------------------
 
 _SURVEY = {

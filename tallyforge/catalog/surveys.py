@@ -15,7 +15,7 @@ from ..sources.files import read_table_csv
 from ..sources.tables import column_description, describe_columns, dictionary_of, read_dictionary, shared_columns
 from ..workspace import scratch_path
 from .registry import query, rounded, table
-from .stand_ins import HIGHER_ED_SQL, JOB_SATISFIED_SQL, SURVEY_COLUMNS, flagged_sql, survey, survey_sql
+from .stand_ins import HIGHER_ED_SQL, JOB_SATISFIED_SQL, SURVEY_COLUMNS, flagged_sql, histogram_sql, survey, survey_sql
 
 S = f"WITH {survey_sql()} "
 TWO = f"WITH {survey_sql('s19', 1999)}, {survey_sql('s20', 2000)}"
@@ -335,9 +335,6 @@ def survey_correlations(spark, folder):
     return rounded(P.correlations(survey(spark, folder), NUMBERS), "r")
 
 
-@query("A17", S + """, x AS (SELECT "ConvertedComp" AS x FROM survey WHERE "ConvertedComp" IS NOT NULL), e AS (SELECT min(x) AS lo, max(x) AS hi FROM x),
-  c AS (SELECT CAST(least(floor((x - lo) / (hi - lo) * 25) + 1, 25) AS int) AS bin, count(*) AS n FROM x, e GROUP BY 1)
-  SELECT CAST(b.bin AS int) AS bin, round(lo + (hi - lo) / 25 * (b.bin - 1), 4) AS bin_left, round(lo + (hi - lo) / 25 * b.bin, 4) AS bin_right, coalesce(n, 0) AS n
-  FROM e, range(1, 26) b(bin) LEFT JOIN c ON c.bin = b.bin""")
+@query("A17", S + """, v AS (SELECT "ConvertedComp" AS x FROM survey WHERE "ConvertedComp" IS NOT NULL), """ + histogram_sql("v", 25))
 def salary_histogram(spark, folder):
     return rounded(P.histogram(survey(spark, folder), "ConvertedComp", 25), "bin_left", "bin_right", digits=4)

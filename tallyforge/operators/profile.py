@@ -7,7 +7,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from ..schemas import numeric_columns
+from ..schemas import numeric_columns, text_columns
 
 # Below this row count quartiles come from one exact aggregate; above it the rank is bracketed first.
 EXACT_ROWS = 200_000
@@ -125,6 +125,15 @@ def summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return values.agg(F.array(*stats).alias("rows")).select(F.inline("rows"))
 
 
+def text_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """count, lowest and highest value of each text column, long form, in one pass."""
+    stats = [
+        F.struct(F.lit(c).alias("column_name"), F.count(_q(c)).alias("n"), F.min(_q(c)).alias("min"), F.max(_q(c)).alias("max"))
+        for c in columns or text_columns(df)
+    ]
+    return df.agg(F.array(*stats).alias("rows")).select(F.inline("rows"))
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list[Column]]:
     """Exact linear-interpolated quantiles as aggregate-ready Columns.
 
@@ -184,40 +193,53 @@ def value_at_rank(df: DataFrame, column: str, rank: int, n: int, limit: int = EX
 
 
 def histogram(df: DataFrame, column: str, bins: int = 10, by: str | None = None, classes: list | None = None) -> DataFrame:
-    """(bin, bin_left, bin_right, n) over equal-width bins, the last one closed; empty bins count 0.
+    """``histograms`` of one column, without the column's name."""
+    return histograms(df, [column], bins, by, classes).drop("column_name")
+
+
+def histograms(
+    df: DataFrame, columns: list[str] | None = None, bins: int = 10, by: str | None = None, classes: list | None = None
+) -> DataFrame:
+    """(column_name, bin, bin_left, bin_right, n) over equal-width bins, the last one closed; empty bins count 0.
 
-    With ``by`` each listed class gets its own range. The ranges come from one small
-    aggregate, so the values are scanned twice and only counts are shuffled.
+    With ``by`` each listed class gets its own ranges. All ranges come from one aggregate and
+    all counts from a second pass, in which only (column, class, bin) counts are shuffled
+    however many columns there are.
     """
-    x = _q(column).cast("double")
-    rows = df.filter(~missing(df, column))
-    if by is None:
-        rows, by, classes = rows.withColumn("_all", F.lit(0)), "_all", [0]
+    columns = columns or [c for c in numeric_columns(df) if c != by]
+    rows, key, classes = (df, by, classes) if by else (df.withColumn("_all", F.lit(0)), "_all", [0])
+    kind = rows.schema[key].dataType.simpleString()
+    values = {c: F.when(~missing(df, c), _q(c).cast("double")) for c in columns}
+    ranges = [(c, k, F.when(_q(key) == k, x)) for c, x in values.items() for k in classes]
     edges = rows.agg(*[
-        F.struct(F.min(x_of).alias("lo"), F.max(x_of).alias("hi")).alias(f"c{i}")
-        for i, k in enumerate(classes) for x_of in [F.when(_q(by) == k, x)]
+        F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias(f"r{i}") for i, (_, _, x) in enumerate(ranges)
     ]).select(F.array(*[
         F.struct(
-            F.lit(k).alias("class"),
-            (F.col(f"c{i}.lo") - half_unit(f"c{i}")).alias("lo"),
-            (F.col(f"c{i}.hi") + half_unit(f"c{i}")).alias("hi"),
-        ) for i, k in enumerate(classes)
-    ]).alias("e"))
-    frame = edges.select(F.inline("e")).filter("lo is not null").select(
-        F.col("class").alias("_class"), "lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")
+            F.lit(c).alias("column_name"), F.lit(k).cast(kind).alias("class"),
+            (F.col(f"r{i}.lo") - half_unit(f"r{i}")).alias("lo"), (F.col(f"r{i}.hi") + half_unit(f"r{i}")).alias("hi"),
+        ) for i, (c, k, _) in enumerate(ranges)
+    ]).alias("edges"))
+    frame = edges.select(F.inline("edges")).filter("lo is not null").select(
+        "column_name", F.col("class").alias("_class"), "lo", "hi",
+        F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"),
+    )
+    cells = unpivoted(
+        rows.filter(_q(key).isin(classes)).select(_q(key).alias("_class"), *[values[c].alias(c) for c in columns]),
+        ["_class"], columns, "column_name", "_x", "double",
     )
-    which = F.lit(None)
-    for i, k in enumerate(classes):
-        e = F.get("_edges", F.lit(i))
-        which = F.when(_q(by) == k, F.least(F.width_bucket(x, e["lo"], e["hi"], F.lit(bins)), F.lit(bins))).otherwise(which)
+    # The ranges travel as one map value; a row picks its own by column and class.
+    ranges_map = edges.select(F.map_from_entries(F.transform("edges", lambda e: F.struct(
+        F.concat_ws("|", e["column_name"], e["class"].cast("string")), F.struct(e["lo"], e["hi"])))).alias("m"))
+    own = F.element_at("_ranges", F.concat_ws("|", "column_name", F.col("_class").cast("string")))
+    edge = F.col("_own")
     counts = (
-        beside(rows.filter(_q(by).isin(classes)), "_edges", edges)
-        .select(_q(by).alias("_class"), which.cast("int").alias("bin"))
-        .groupBy("_class", "bin").agg(F.count(F.lit(1)).alias("n"))
+        beside(cells.filter("_x is not null"), "_ranges", ranges_map).withColumn("_own", own)
+        .select("column_name", "_class", bin_number(F.col("_x"), edge, bins).alias("bin"))
+        .groupBy("column_name", "_class", "bin").agg(F.count(F.lit(1)).alias("n"))
     )
     width = (F.col("hi") - F.col("lo")) / bins
-    out = frame.join(counts, ["_class", "bin"], "left").select(
-        F.col("_class").alias(by), "bin",
+    out = frame.join(counts, ["column_name", "_class", "bin"], "left").select(
+        "column_name", F.col("_class").alias(key), "bin",
         (F.col("lo") + width * (F.col("bin") - 1)).alias("bin_left"),
         (F.col("lo") + width * F.col("bin")).alias("bin_right"),
         F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
@@ -225,6 +247,14 @@ def histogram(df: DataFrame, column: str, bins: int = 10, by: str | None = None,
     return out.drop("_all")
 
 
+def bin_number(x: Column, edge: Column, bins: int) -> Column:
+    """1-based bin with left <= x < right by the same edges that are reported; the last bin is closed."""
+    lo, width = edge["lo"], (edge["hi"] - edge["lo"]) / bins
+    guess = F.least(F.floor((x - lo) / (edge["hi"] - lo) * bins), F.lit(bins - 1))
+    moved = F.when(x < lo + width * guess, guess - 1).when((x >= lo + width * (guess + 1)) & (guess < bins - 1), guess + 1)
+    return F.when(x.isNotNull(), F.coalesce(moved, guess) + 1).cast("int")
+
+
 def half_unit(field: str) -> Column:
     """A constant column gets a range of one around its value."""
     return F.when(F.col(f"{field}.lo") == F.col(f"{field}.hi"), 0.5).otherwise(0.0)
