@@ -272,13 +272,15 @@ def pearson(a: Column, b: Column) -> Column:
 def correlations(df: DataFrame, columns: list[str] | None = None, by: str | None = None) -> DataFrame:
     """(a, b, r) for a <= b in column order, each pair over its own complete rows; null without spread.
 
-    One pass whatever the number of pairs; only a few numbers a pair and task are shuffled.
+    One scan whatever the number of pairs. Pairs become rows before they are aggregated: one
+    aggregate for all pairs side by side soon has more fields than generated code takes, and
+    only a few numbers a pair and task are shuffled either way.
     """
     columns = columns or [c for c in numeric_columns(df) if c != by]
     clean = {c: F.when(~missing(df, c), _q(c).cast("double")) for c in columns}
     pairs = F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), pearson(clean[a], clean[b]).alias("r"))
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), clean[a].alias("x"), clean[b].alias("y"))
         for a, b in combinations_with_replacement(columns, 2)
     ])
-    grouped = df.groupBy(_q(by).alias(by)) if by else df.groupBy()
-    return grouped.agg(pairs.alias("pairs")).select(*([_q(by)] if by else []), F.inline("pairs"))
+    keys = [_q(by)] if by else []
+    return df.select(*keys, F.inline(pairs)).groupBy(*keys, "a", "b").agg(pearson(F.col("x"), F.col("y")).alias("r"))
