@@ -2,9 +2,9 @@
 
 from pyspark import cloudpickle
 
-from . import chat, common, q_archives, warc
+from . import chat, common, near_dup, q_archives, q_duplicates, warc  # noqa: F401
 from .registry import LLM_QUERIES  # noqa: F401
 
 # Modules with Python tasks travel with them, so workers need no installed package.
-for _module in (chat, common, warc):
+for _module in (chat, common, near_dup, warc):
     cloudpickle.register_pickle_by_value(_module)
