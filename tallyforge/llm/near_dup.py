@@ -9,7 +9,7 @@ of the sets' similarity, with bounds as for independent samples.
 Bands of ``rows_per_band`` coordinates give the buckets. Verification never takes all pairs of a bucket: first each member is
 compared with the bucket's smallest document; then, where a bucket still holds documents of several components, the pairs
 across components, and only these. Pairs within one component cannot change the result. With the defaults a link of
-similarity 0.8 shares no bucket with a probability of 3e-6; a missed one may still be joined through others.
+similarity 0.8 shares no bucket with a probability of 8e-6; a missed one may still be joined through others.
 
 Defined cases: null or empty text, or no words: empty set, component of its own; fewer words than a shingle: the whole sequence
 is one; ids that repeat are one document (a row for each of its different sets); a null id is a component of its own with id null;
@@ -123,7 +123,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 2,
-                    percent: int = 80, bands: int = 32, rows_per_band: int = 5) -> DataFrame:
+                    percent: int = 80, bands: int = 64, rows_per_band: int = 8) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links) and kept (doc_id = component_id).
 
     Two documents are linked when 100 * size of the intersection >= ``percent`` * size of the union of their sets.
