@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import near_dup
+from . import fingerprints, near_dup, suffix_dedup, topk
 from .common import table
 from .registry import llm_query
 
@@ -28,3 +28,33 @@ SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents on shingles of two words, at a similarity of 0.8."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@llm_query()
+def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that strings of 400 bytes cover which occur again."""
+    found = suffix_dedup.removed_bytes(table(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+OP4_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@llm_query(OP4_SQL)
+def op4_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest inner products of every fiftieth vector with all others."""
+    return topk.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+@llm_query()
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and their likeness to those and to the next document."""
+    return fingerprints.fingerprinted_edits(table(spark, sf_dir, "documents"))
