@@ -82,7 +82,7 @@ def edited_documents(documents: DataFrame, id_column: str = "doc_id", text_colum
     the next id's rows.
     """
     rows = documents.select(F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))).alias("key"), text_of(text_column).alias("text"))
-    lengths = rows.groupBy("key").agg(F.max(F.length("text")).alias("n"))
+    lengths = Scratch(documents.sparkSession, "lengths").keep(rows.groupBy("key").agg(F.max(F.length("text")).alias("n")), "rows")
     order = following(lengths)
     wanted = order.select(F.col("next").alias("key"), F.col("key").alias("for"), F.expr("n DIV 2").cast("int").alias("half"))
     parts = (rows.join(wanted, "key").select(F.col("for").alias("key"), F.substring("text", F.lit(1), F.col("half")).alias("part"),
