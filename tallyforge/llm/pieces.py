@@ -77,38 +77,47 @@ def join_words(words: list[str]) -> str:
 
 
 def encoded_words(words: DataFrame, table: PieceTable) -> DataFrame:
-    """word, ids of distinct words (column ``word``, none empty)."""
-    spark = words.sparkSession
-    longest = F.lit(table.longest)
+    """word, ids of distinct words (column ``word``, none empty).
+
+    An edge is its score and a number made of its end, 255 less its length, and its id, so that numbers sort by end and, of one
+    end, longer pieces come first. Words may have 2^24 characters.
+    """
+    spark, unknown = words.sparkSession, table.largest_id + 1
+    longest = F.lit(min(table.longest, 255))
     placed = words.select("word").repartition("word").select("word", F.length("word").alias("n"))
     starts = placed.select("word", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("at"))
-    spans = starts.select("word", (F.col("at") - 1).alias("start"), F.explode(
-        F.sequence(F.lit(1), F.least(longest, F.col("n") - F.col("at") + 1))).alias("size"), "at").select(
-        "word", "start", (F.col("start") + F.col("size")).alias("end"), "size",
-        F.col("word").substr(F.col("at"), F.col("size")).alias("piece"))
+    spans = starts.select("word", "at", F.explode(F.sequence(F.lit(1), F.least(longest, F.col("n") - F.col("at") + 1))).alias("size")).select(
+        "word", "at", "size", F.col("word").substr(F.col("at"), F.col("size")).alias("piece"))
     known = F.broadcast(table.frame(spark))  # the piece table: its size is that of the model file
-    byte_ids = F.array(*[F.lit(i) for i in table.byte_ids])
-    own_bytes = F.transform(F.sequence(F.lit(1), F.octet_length("piece")), lambda i: F.element_at(
-        byte_ids, F.conv(F.hex(F.encode("piece", "UTF-8")).substr(2 * i - 1, F.lit(2)), 16, 10).cast("int") + 1))
+    number = (F.shiftleft((F.col("at") + F.col("size") - 1).cast("long"), 39) + F.shiftleft((255 - F.col("size")).cast("long"), 31)
+              + F.coalesce("id", F.lit(unknown)))
     edges = (spans.join(known, "piece", "left").filter("id IS NOT NULL OR size = 1")
-             .select("word", F.struct("end", "start", F.coalesce("score", F.lit(table.unknown_score)).alias("score"),
-                                      F.when(F.col("id").isNull(), own_bytes).otherwise(F.array("id")).alias("ids")).alias("edge"))
+             .select("word", F.struct(number.alias("k"), F.coalesce("score", F.lit(table.unknown_score)).alias("score")).alias("edge"))
              .groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("edges")))
-    state = "struct<best:array<struct<score:double,start:int,ids:array<int>>>,at:int,score:double,start:int,ids:array<int>>"
+    edges = edges.select("word", F.expr(
+        "transform(edges, e -> named_struct('end', CAST(shiftright(e.k, 39) AS INT), 'start', "
+        "CAST(shiftright(e.k, 39) - 255 + (shiftright(e.k, 31) & 255) AS INT), 'score', e.score, 'id', CAST(e.k & 2147483647 AS INT)))"
+    ).alias("edges"))
+    state = "struct<best:array<struct<score:double,start:int,id:int>>,at:int,score:double,start:int,id:int>"
     fold = f"""
       aggregate(edges,
-        CAST(named_struct('best', array(), 'at', 0, 'score', 0D, 'start', 0, 'ids', array()) AS {state}),
+        CAST(named_struct('best', array(), 'at', 0, 'score', 0D, 'start', 0, 'id', 0) AS {state}),
         (a, e) -> IF(e.end > a.at,
-          named_struct('best', concat(a.best, array(named_struct('score', a.score, 'start', a.start, 'ids', a.ids))), 'at', e.end,
-            'score', e.score + IF(e.start = a.at, a.score, a.best[e.start].score), 'start', e.start, 'ids', e.ids),
+          named_struct('best', concat(a.best, array(named_struct('score', a.score, 'start', a.start, 'id', a.id))), 'at', e.end,
+            'score', e.score + IF(e.start = a.at, a.score, a.best[e.start].score), 'start', e.start, 'id', e.id),
           IF(e.score + a.best[e.start].score > a.score,
-            named_struct('best', a.best, 'at', a.at, 'score', e.score + a.best[e.start].score, 'start', e.start, 'ids', e.ids), a)),
-        a -> concat(a.best, array(named_struct('score', a.score, 'start', a.start, 'ids', a.ids))))"""
+            named_struct('best', a.best, 'at', a.at, 'score', e.score + a.best[e.start].score, 'start', e.start, 'id', e.id), a)),
+        a -> concat(a.best, array(named_struct('score', a.score, 'start', a.start, 'id', a.id))))"""
     back = """
-      aggregate(best, CAST(named_struct('at', size(best) - 1, 'parts', array()) AS struct<at:int,parts:array<array<int>>>),
-        (a, x) -> IF(a.at <= 0, a, named_struct('at', best[a.at].start, 'parts', concat(a.parts, array(best[a.at].ids)))),
-        a -> flatten(reverse(a.parts)))"""
-    return edges.select("word", F.expr(fold).alias("best")).select("word", F.expr(back).alias("ids"))
+      aggregate(best, CAST(named_struct('at', size(best) - 1, 'way', array()) AS struct<at:int,way:array<struct<id:int,start:int>>>),
+        (a, x) -> IF(a.at <= 0, a, named_struct('at', best[a.at].start,
+          'way', concat(a.way, array(named_struct('id', best[a.at].id, 'start', best[a.at].start))))),
+        a -> reverse(a.way))"""
+    byte_ids = ", ".join(map(str, table.byte_ids))
+    bytes_of = (f"transform(sequence(1, octet_length(substr(word, p.start + 1, 1))), i -> array({byte_ids})"
+                "[CAST(conv(substr(hex(encode(substr(word, p.start + 1, 1), 'UTF-8')), 2 * i - 1, 2), 16, 10) AS INT)])")
+    ids = f"flatten(transform(way, p -> IF(p.id = {unknown}, {bytes_of}, array(p.id))))"
+    return edges.select("word", F.expr(fold).alias("best")).select("word", F.expr(back).alias("way")).select("word", F.expr(ids).alias("ids"))
 
 
 def decoded_words(words: DataFrame, table: PieceTable, ids: str = "ids") -> DataFrame:
@@ -165,7 +174,7 @@ def frequent_words(documents: DataFrame, table: PieceTable, cached_words: int, s
 
 
 def encode_words(documents: DataFrame, table: PieceTable, id_column: str = "doc_id", text_column: str = "text",
-                 cached_words: int = 1 << 18, sample_docs: int = 10000) -> DataFrame:
+                 cached_words: int = 1 << 17, sample_docs: int = 10000) -> DataFrame:
     """doc_id, position (from 0), ids, decodes: a row for each word of each text; one with position -1 for a text without words.
 
     ``decodes`` tells whether the ids decode to the word; it is false for none of them.
@@ -175,26 +184,34 @@ def encode_words(documents: DataFrame, table: PieceTable, id_column: str = "doc_
     cache = spark.sparkContext.broadcast(frequent_words(rows, table, cached_words, sample_docs))
 
     def others(batches):
-        """Words that are not sent along, once for each batch."""
-        known = cache.value.at()
+        """Words that are not sent along, once for each 50,000 or so."""
+        known, new = cache.value.at(), set()
         for batch in batches:
-            new = set()
             for text in batch.column(0):
                 new.update(w for w in split_words(text.as_py()) if w not in known)
-            yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.string())], names=["word"])
+                if len(new) > 50000:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.string())], names=["word"])
+                    new = set()
+        yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.string())], names=["word"])
 
     def other_places(batches):
-        known = cache.value.at()
+        known, doc, at, words = cache.value.at(), [], [], []
+
+        def batch_of():
+            return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(at, pa.int32()), pa.array(words, pa.string())],
+                                              names=["doc_id", "position", "word"])
+
         for batch in batches:
-            doc, at, words = [], [], []
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for i, w in enumerate(split_words(text.as_py())):
                     if w not in known:
                         doc.append(d)
                         at.append(i)
                         words.append(w)
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(at, pa.int32()), pa.array(words, pa.string())],
-                                             names=["doc_id", "position", "word"])
+                if len(doc) > 20000:
+                    yield batch_of()
+                    doc, at, words = [], [], []
+        yield batch_of()
 
     def known_places(batches):
         known = cache.value.at()
@@ -221,7 +238,7 @@ def encode_words(documents: DataFrame, table: PieceTable, id_column: str = "doc_
 
 
 def encode(documents: DataFrame, table: PieceTable, id_column: str = "doc_id", text_column: str = "text",
-           cached_words: int = 1 << 18, sample_docs: int = 10000) -> DataFrame:
+           cached_words: int = 1 << 17, sample_docs: int = 10000) -> DataFrame:
     """doc_id, ids and n_words of each row's whole text.
 
     The ids of known words are written where a text is read, with gaps; the other words' ids are joined by row and fill them.
