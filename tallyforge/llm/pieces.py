@@ -279,15 +279,16 @@ def encode(documents: DataFrame, table: PieceTable, id_column: str = "doc_id", t
 
     def filled(batches):
         kind = np.uint16 if table.largest_id < 65536 else np.int32
-        for batch in batches:
-            out = []
-            for ids, gaps, missing, found in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
-                known, own = np.frombuffer(ids, kind).astype(np.int32), {f["word"]: f["own"] for f in found or []}
-                more = [own[w] for w in missing]
-                at = np.repeat(np.asarray(gaps, np.int64), [len(m) for m in more])
-                out.append(np.insert(known, at, np.concatenate(more)) if more else known)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32())), batch.column(1)],
-                                             names=["doc_id", "ids", "n_words"])
+        for whole in batches:
+            for start in range(0, len(whole), 64):  # few at a time: texts become lists of Python objects
+                batch, out = whole.slice(start, 64), []
+                for ids, gaps, missing, found in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
+                    known, own = np.frombuffer(ids, kind).astype(np.int32), {f["word"]: f["own"] for f in found or []}
+                    more = [own[w] for w in missing]
+                    at = np.repeat(np.asarray(gaps, np.int64), [len(m) for m in more])
+                    out.append(np.insert(known, at, np.concatenate(more)) if more else known)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32())), batch.column(1)],
+                                                 names=["doc_id", "ids", "n_words"])
 
     return part.join(found, "row", "left").select("doc_id", "n_words", "ids", "gaps", "missing", "found").mapInArrow(
         filled, "doc_id long, ids array<int>, n_words long")

@@ -184,7 +184,7 @@ def _smaller_places(nodes: DataFrame, texts: DataFrame, length: int, size: int)
                         seen.add((a, lo))
                         whole = lo == start and hi == end
                         tag = block.to_bytes(4, "big")
-                        out.append((row, a, lo, hi, block * size, block * size + size - 1, weight, whole, digest(tag + raw[end:start + length]),
+                        out.append((row, a, lo, hi, block * size, block * size + size - 1, weight, whole, digest(tag + raw[end:max(end, start + length)]),
                                     digest(tag + raw[start:end + length]) if whole else digest(row + a.to_bytes(8, "big") + tag)))
                 if len(out) > 20000:
                     yield _batch(out)
