@@ -139,6 +139,14 @@ def label_report(spark, folder):
     return rounded(Ev.label_report(outputs(spark, folder)), "precision", "recall", "f1", "accuracy", digits=9)
 
 
+@query("M25", PRED + _OUTPUTS_SQL + """ SELECT label_name, 'macro' AS average, round(avg(precision), 9) AS precision, round(avg(recall), 9) AS recall,
+    round(avg(f1), 9) AS f1, sum(support) AS support FROM report GROUP BY label_name
+  UNION ALL SELECT label_name, 'weighted', round(sum(precision * support) / sum(support), 9), round(sum(recall * support) / sum(support), 9),
+    round(sum(f1 * support) / sum(support), 9), sum(support) FROM report GROUP BY label_name""")
+def label_report_averages(spark, folder):
+    return rounded(Ev.label_averages(outputs(spark, folder)), "precision", "recall", "f1", digits=9)
+
+
 @query("M25", PRED + _OUTPUTS_SQL + " SELECT round(avg(accuracy), 9) AS average_accuracy, round(avg(f1), 9) AS average_f1 FROM report WHERE class = 1")
 def average_label_scores(spark, folder):
     return rounded(Ev.average_scores(outputs(spark, folder)), "average_accuracy", "average_f1", digits=9)

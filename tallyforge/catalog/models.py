@@ -64,15 +64,16 @@ def principal_component_shares(spark, folder):
         "userId", "label", F.lit(len(shares)).alias("k"), vector_to_array("pcaFeatures").alias("components"))
 
 
-@query("M4")
+@query("M4", f"WITH {FEATURES_CTE} " + """SELECT "userId", churn::double AS label FROM features
+  WHERE ('0x' || substr(md5('123|' || "userId"), 1, 8))::bigint < 0.8::double * 4294967296""")
 def stratified_users(spark, folder):
     rows = user_features(spark, folder).select("userId", F.col("churn").cast("double").alias("label"))
-    return Pr.stratified_sample(rows, "label", {0.0: 0.8, 1.0: 0.8}, 123)
+    return Pr.stratified_sample(rows, "label", {0.0: 0.8, 1.0: 0.8}, 123, ["userId"])
 
 
 _HOT = [("MainBranch", c) for c in ["Iamadeveloperbyprofession", "Icodeprimarilyasahobby"]] + [
     ("OrgSize", c) for c in ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]] + [
-    ("LanguageWorkedWith", c) for c in ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOTSPECIFIED", "5-LOW", "nan"]]
+    ("LanguageWorkedWith", c) for c in ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOTSPECIFIED", "5-LOW"]]
 
 
 @query("W14 W12 P15", f"WITH {flagged_sql()} " + 'SELECT "Respondent", "HigherEd"::double AS "HigherEd", "JobSatisfied", ' + ", ".join(

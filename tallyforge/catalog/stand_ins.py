@@ -138,9 +138,12 @@ _SURVEY = {
 SURVEY_COLUMNS = list(_SURVEY)
 
 
-def survey(spark: SparkSession, folder: str, year: int = 1999) -> DataFrame:
-    """Customers as respondents; their orders of one year give the multi-choice cells and amounts."""
-    orders = table(spark, folder, "orders").filter(F.year("o_orderdate") == year).groupBy("o_custkey").agg(
+def survey(spark: SparkSession, folder: str, year: int | None = None) -> DataFrame:
+    """Customers as respondents; their orders (of one year, if given) give the multi-choice cells and amounts."""
+    orders = table(spark, folder, "orders")
+    if year:
+        orders = orders.filter((F.col("o_orderdate") >= f"{year}-01-01") & (F.col("o_orderdate") < f"{year + 1}-01-01"))
+    orders = orders.groupBy("o_custkey").agg(
         # At most five priorities and three statuses exist, so these sets stay tiny.
         F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ";").alias("priorities"),
         F.array_join(F.array_sort(F.collect_set("o_orderstatus")), ";").alias("statuses"),
@@ -151,7 +154,7 @@ def survey(spark: SparkSession, folder: str, year: int = 1999) -> DataFrame:
     return rows.selectExpr(*[f"{e.format(text='string')} AS {c}" for c, e in _SURVEY.items()])
 
 
-def survey_sql(name: str = "survey", year: int = 1999) -> str:
+def survey_sql(name: str = "survey", year: int | None = None) -> str:
     columns = ",\n".join(f'{e.format(text="varchar")} AS "{c}"' for c, e in _SURVEY.items())
     return f"""{name} AS (
   SELECT {columns}
@@ -159,14 +162,14 @@ def survey_sql(name: str = "survey", year: int = 1999) -> str:
     SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ';' ORDER BY o_orderpriority) AS priorities,
            string_agg(DISTINCT o_orderstatus, ';' ORDER BY o_orderstatus) AS statuses,
            max(o_totalprice) AS top_price, min(o_totalprice) AS low_price, CAST(count(*) AS double) AS n_orders
-    FROM orders WHERE year(o_orderdate) = {year} GROUP BY o_custkey) o ON c_custkey = o_custkey)"""
+    FROM orders {f"WHERE year(o_orderdate) = {year}" if year else ""} GROUP BY o_custkey) o ON c_custkey = o_custkey)"""
 
 
 HIGHER_ED_SQL = """CASE WHEN "EdLevel" LIKE '%Master’s%' OR "EdLevel" LIKE '%Doctoral%' OR "EdLevel" LIKE '%Professional%' THEN 1 ELSE 0 END"""
 JOB_SATISFIED_SQL = """CASE WHEN "JobSat" LIKE '% satisfied' THEN 1 ELSE 0 END"""
 
 
-def flagged_sql(name: str = "survey", year: int = 1999) -> str:
+def flagged_sql(name: str = "survey", year: int | None = None) -> str:
     """The survey with its two derived flags, under ``name``."""
     return survey_sql(f"{name}_raw", year) + f""",
 {name} AS (SELECT *, {HIGHER_ED_SQL} AS "HigherEd", {JOB_SATISFIED_SQL} AS "JobSatisfied" FROM {name}_raw)"""

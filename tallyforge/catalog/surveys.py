@@ -24,7 +24,7 @@ NUMBERS = ["Age", "ConvertedComp", "CompTotal", "WorkWeekHrs"]
 TEXTS = [c for c in SURVEY_COLUMNS if c not in NUMBERS + ["Respondent"]]
 
 
-def flagged(spark, folder, year=1999):
+def flagged(spark, folder, year=None):
     return with_flags(survey(spark, folder, year))
 
 
@@ -154,9 +154,9 @@ def rows_with_numeric_years(spark, folder):
     return C.numeric_text_rows(survey(spark, folder).select("Respondent", "YearsCodePro"), "YearsCodePro")
 
 
-@query("P20")
+@query("P20", S + """SELECT * FROM survey WHERE ('0x' || substr(md5('42|' || "Respondent"), 1, 8))::bigint < 0.1::double * 4294967296""")
 def random_sample(spark, folder):
-    return C.sample_rows(survey(spark, folder), 0.1, 42)
+    return C.sample_rows(survey(spark, folder), 0.1, 42, ["Respondent"])
 
 
 @query("P21", S + 'SELECT * FROM survey ORDER BY "ConvertedComp" NULLS FIRST, "Respondent" LIMIT 10')
@@ -282,7 +282,7 @@ def choices_of_two_years(spark, folder):
 def yearly_change_of_choices(spark, folder):
     later = Ch.choice_shares(survey(spark, folder, 2000), "LanguageWorkedWith", norm="choices")
     earlier = Ch.choice_shares(
-        survey(spark, folder).filter("Gender = 'Man' and JobSat is null"), "LanguageWorkedWith", norm="choices")
+        survey(spark, folder, 1999).filter("Gender = 'Man' and JobSat is null"), "LanguageWorkedWith", norm="choices")
     return rounded(Ch.yearly_change(later, earlier), "PercentageWorkedWith")
 
 

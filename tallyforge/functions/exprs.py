@@ -26,6 +26,13 @@ def device_of(user_agent: Column | str) -> Column:
     return lookup(F.regexp_extract(_col(user_agent), fixed.USER_AGENT_WORD, 1), fixed.USER_DEVICES)
 
 
+def in_share(fraction: Column | float, seed: int, *key: Column | str) -> Column:
+    """True for that share of the keys. The key alone decides, whatever the partitioning is."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[_col(c).cast("string") for c in key])
+    drawn = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return drawn < (fraction if isinstance(fraction, Column) else F.lit(float(fraction))) * float(1 << 32)
+
+
 def to_long(c: Column | str) -> Column:
     return _col(c).try_cast("bigint")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import math
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRawPredictionCol
-from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, functions as F
 
 from ..workspace import cut_lineage
@@ -161,15 +160,15 @@ class _BoostWriter(MLWriter):
     def saveImpl(self, path: str) -> None:
         m = self.model
         params = {p.name: m.getOrDefault(p) for p in m.params if m.isDefined(p)}
-        meta = json.dumps({"alphas": m.alphas, "classes": m.classes, "params": params})
-        self.sparkSession.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+        DefaultParamsWriter.saveMetadata(m, path, self.sparkSession, {"alphas": m.alphas, "classes": m.classes, "own": params})
         for i, tree in enumerate(m.trees):
             tree.write().overwrite().save(f"{path}/trees/{i}")
 
 
 class _BoostReader(MLReader):
     def load(self, path: str) -> AdaBoostModel:
-        meta = json.loads(self.sparkSession.read.text(f"{path}/meta").first()[0])
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
         trees = [DecisionTreeClassificationModel.load(f"{path}/trees/{i}") for i in range(len(meta["alphas"]))]
         model = AdaBoostModel(trees, meta["alphas"], meta["classes"])
-        return model._set(**meta["params"])
+        model._resetUid(meta["uid"])
+        return model._set(**meta["own"])

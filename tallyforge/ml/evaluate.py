@@ -90,6 +90,18 @@ def label_report(outputs: DataFrame) -> DataFrame:
     )
 
 
+def label_averages(outputs: DataFrame) -> DataFrame:
+    """(label_name, average, precision, recall, f1, support): per label the mean of its two classes, plain and by support."""
+    report, names = label_report(outputs), ("precision", "recall", "f1")
+    support = F.sum("support")
+    plain = [F.avg(c).alias(c) for c in names]
+    weighted = [(F.sum(F.col(c) * F.col("support")) / support).alias(c) for c in names]
+    return report.groupBy("label_name").agg(
+        support.alias("support"), F.struct(F.lit("macro").alias("average"), *plain).alias("a"),
+        F.struct(F.lit("weighted").alias("average"), *weighted).alias("b"),
+    ).select("label_name", F.inline(F.array("a", "b")), "support")
+
+
 def average_scores(outputs: DataFrame) -> DataFrame:
     """One row: mean over labels of accuracy and of class-1 F1."""
     return label_report(outputs).filter(F.col("class") == 1).agg(

@@ -10,6 +10,7 @@ from pyspark.ml.feature import PCA, MinMaxScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.exprs import in_share
 from ..operators.profile import _q, beside
 
 
@@ -73,8 +74,12 @@ def split_by_key(
     return df.filter(picked), df.filter(~picked)
 
 
-def stratified_sample(df: DataFrame, label: str, fractions: dict, seed: int = 123) -> DataFrame:
-    return df.sampleBy(_q(label), fractions, seed)
+def stratified_sample(df: DataFrame, label: str, fractions: dict, seed: int = 123, key: list[str] | None = None) -> DataFrame:
+    """A share of each class (none of a class without one). The key (all columns by default) decides, not the partitioning."""
+    share = F.lit(0.0)
+    for value, fraction in fractions.items():
+        share = F.when(_q(label) == value, float(fraction)).otherwise(share)
+    return df.filter(in_share(share, seed, *[_q(c) for c in key or df.columns]))
 
 
 def all_but(df: DataFrame, part: DataFrame) -> DataFrame:

@@ -87,7 +87,7 @@ def page_feature(page: str) -> str:
     return page.replace(" ", "") + "PageMonth"
 
 
-def page_features(clicks: DataFrame, pages: list[str], period: str = "month", grain: str = "user") -> DataFrame:
+def page_features(clicks: DataFrame, pages: list[str], period: str = "monthStart", grain: str = "user") -> DataFrame:
     """Counts of the given pages: a mean over the user's periods, or one row per user and period.
 
     Cancel pages never count. The pages are given, so no job looks for pivot values, and the
@@ -141,7 +141,7 @@ def user_features(
     clicks: DataFrame,
     pages: list[str] = fixed.FEATURE_PAGES,
     dummies: dict[str, list[str]] = fixed.DUMMY_VALUES,
-    period: str = "month",
+    period: str = "monthStart",
     day: str = "date",
     churn_events: list[str] = [fixed.CHURN_PAGE],
 ) -> DataFrame:

@@ -77,8 +77,9 @@ def numeric_text_rows(df: DataFrame, column: str) -> DataFrame:
     return df.filter(number.isNotNull() & ~F.isnan(number)).withColumn(column, number)
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, fraction: float, seed: int = 42, key: list[str] | None = None) -> DataFrame:
+    """About that share of the rows. The key (all columns by default) alone decides, so the sample is the same in every job."""
+    return df.filter(E.in_share(fraction, seed, *[_q(c) for c in key or df.columns]))
 
 
 def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:

@@ -20,14 +20,13 @@ def read_table_csv(
     columns: list[str] | T.StructType,
     types: dict[str, str] | None = None,
     null_tokens: list[str] = NULL_TOKENS,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with header, quoted cells (which may span lines) and missing-value tokens.
 
     Everything is read as text, tokens become null, and only then are columns cast, so a
-    stray word in a numeric column gives null instead of failing the job. A file with cells
-    over several lines is read by one task; for large files without such cells pass
-    ``multi_line=False``, which lets Spark split them.
+    stray word in a numeric column gives null instead of failing the job. Files
+    are split; where cells span lines pass ``multi_line=True``, which reads each file in one task.
     """
     if isinstance(columns, T.StructType):
         types = {f.name: f.dataType.simpleString() for f in columns.fields if f.dataType != T.StringType()}

@@ -31,7 +31,7 @@ DUMMIES = {"level": ["free", "paid"]}
 def log(spark):
     df = spark.createDataFrame(EVENTS, "userId bigint, sessionId bigint, itemInSession bigint, page string, ts bigint, registration bigint, length double, level string")
     day = F.date_from_unix_date(F.floor(F.col("ts") / DAY).cast("int"))
-    return df.withColumns({"date": day, "month": F.month(day), "hour": F.lit(1), "weekDay": F.dayofweek(day), "monthDay": F.dayofmonth(day)})
+    return df.withColumns({"date": day, "month": F.month(day), "monthStart": F.trunc(day, "month"), "hour": F.lit(1), "weekDay": F.dayofweek(day), "monthDay": F.dayofmonth(day)})
 
 
 def test_churn_labels(log):
@@ -58,7 +58,7 @@ def test_counts_by_churn(log):
 
 
 def test_pages(log):
-    assert rows(B.page_features(log, PAGES, grain="user_month")) == [(1, 10, 0, 2, 1), (1, 11, 1, 0, 0), (2, 10, 0, 2, 0)]
+    assert rows(B.page_features(log, PAGES, "month", grain="user_month")) == [(1, 10, 0, 2, 1), (1, 11, 1, 0, 0), (2, 10, 0, 2, 0)]
     got = B.page_features(log, PAGES)
     assert got.columns == ["userId", "HomePageMonth", "NextSongPageMonth", "ThumbsUpPageMonth"]
     assert rows(got) == [(1, 0.5, 1.0, 0.5), (2, 0.0, 2.0, 0.0)]
@@ -99,3 +99,8 @@ def test_fused_features_survive_missing_cells(spark, log):
     got = B.user_features(nulls, PAGES, DUMMIES)
     assert got.count() == 3 and got.first().avgLength is None
     assert log.filter(F.col("date") == datetime.date(2018, 10, 1)).count() > 0
+
+
+def test_the_same_month_of_two_years_is_two_periods(spark):
+    log = spark.sql("SELECT * FROM VALUES (1, 'Home', DATE'2018-01-01'), (1, 'Home', DATE'2019-01-01') AS t(userId, page, monthStart)")
+    assert rows(B.page_features(log, ["Home"])) == [(1, 1.0)]

@@ -55,7 +55,7 @@ def test_store_and_load(spark, joined, tmp_path):
 def test_csv_with_quotes_line_breaks_and_tokens(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text('id,text,age\n1,"said ""hi"", twice\nand left",30\n2,NA,old\n3,plain,NaN\n4,"",7.5\n')
-    got = rows(files.read_table_csv(spark, str(path), ["id", "text", "age"], {"id": "bigint", "age": "double"}))
+    got = rows(files.read_table_csv(spark, str(path), ["id", "text", "age"], {"id": "bigint", "age": "double"}, multi_line=True))
     assert got == [(1, 'said "hi", twice\nand left', 30.0), (2, None, None), (3, "plain", None), (4, None, 7.5)]
 
 

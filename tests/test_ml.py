@@ -96,6 +96,26 @@ def test_boosting_stops_when_perfect_and_is_saved(spark, tmp_path):
     assert again.getOrDefault("rounds") == 20
 
 
+def test_models_of_all_labels_and_boosting_are_stored_in_pipelines(spark, ring, tmp_path):
+    from pyspark.ml import Pipeline
+
+    rows_ = ring.select("id", "features", "label", (1 - F.col("label")).alias("other"))
+    for i, base in enumerate((LogisticRegression(), AdaBoostClassifier(rounds=3))):
+        model = Pipeline(stages=[Mo.PerLabelClassifier(base, ["label", "other"])]).fit(rows_)
+        again = load_model(save_model(model, str(tmp_path / f"per-label-{i}")))
+        names = ["id", "prediction_label", "prediction_other"]
+        assert rows(again.transform(rows_).select(names)) == rows(model.transform(rows_).select(names))
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    from tallyforge.operators.clean import sample_rows
+
+    df = spark.range(3000).select("id", (F.col("id") % 3).cast("double").alias("label"))
+    taken = [rows(Pr.stratified_sample(df.repartition(n), "label", {0.0: 0.8, 1.0: 0.2}, key=["id"])) for n in (4, 7, 13)]
+    assert taken[0] == taken[1] == taken[2] and {r[1] for r in taken[0]} == {0.0, 1.0}
+    assert rows(sample_rows(df.repartition(4), 0.1)) == rows(sample_rows(df.repartition(9), 0.1))
+
+
 def test_kernel_svm_learns_the_circle(parts):
     train, test = parts
     gamma = scale_gamma(train)
