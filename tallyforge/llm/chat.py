@@ -78,7 +78,7 @@ def format_conversations(conversations: DataFrame, vocabulary: str = VOCABULARY,
                                 text_of("role").alias("role"), text_of("text").alias("text"))
 
     def encode(batches):
-        coder = per_worker(f"ranks {vocabulary}", lambda: Coder(ranks.value))
+        coder = per_worker("ranks", str(vocabulary), lambda: Coder(ranks.value))
         r = coder.reserved
         for batch in batches:
             ids, before, inside = [], [], []
@@ -122,7 +122,7 @@ def read_back(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     ranks = _ranks(formatted, vocabulary)
 
     def decode(batches):
-        coder = per_worker(f"ranks {vocabulary}", lambda: Coder(ranks.value))
+        coder = per_worker("ranks", str(vocabulary), lambda: Coder(ranks.value))
         for batch in batches:
             roles, texts, covered, chars = [], [], [], []
             for ids, mask in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):

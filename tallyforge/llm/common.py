@@ -43,9 +43,9 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def per_worker(key: str, make):
-    """A value made once in each Python worker and kept for its later tasks."""
+def per_worker(kind: str, key: str, make):
+    """A value made once in each Python worker and kept for its later tasks, until the kind's next key takes its place."""
     kept = sys.modules.setdefault("tallyforge_worker_values", types.ModuleType("tallyforge_worker_values")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    if kept.get(kind, (None,))[0] != key:
+        kept[kind] = (key, make())
+    return kept[kind][1]

@@ -25,6 +25,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import Scratch, per_worker, text_of
@@ -120,19 +121,23 @@ def encoded_words(words: DataFrame, table: PieceTable) -> DataFrame:
     return edges.select("word", F.expr(fold).alias("best")).select("word", F.expr(back).alias("way")).select("word", F.expr(ids).alias("ids"))
 
 
+def piece_bytes(table: PieceTable) -> list[bytes]:
+    """What each id stands for, in UTF-8; an id that is no piece stands for nothing."""
+    raw = [b""] * (table.largest_id + 1)
+    for piece, i, _ in table.pieces:
+        raw[i] = piece.encode()
+    for b, i in enumerate(table.byte_ids):
+        raw[i] = bytes([b])
+    return raw
+
+
 def decoded_words(words: DataFrame, table: PieceTable, ids: str = "ids") -> DataFrame:
     """The rows with ``decoded``: the word that their ids stand for."""
-    names = ["" for _ in range(1 + max(i for _, i, _ in table.pieces))]
-    byte_of = {i: b for b, i in enumerate(table.byte_ids)}
-    for piece, i, _ in table.pieces:
-        names[i] = piece
+    raw = piece_bytes(table)
 
     def run(batches):
         for batch in batches:
-            out = []
-            for row in batch.column(batch.schema.get_field_index(ids)).to_pylist():
-                raw = b"".join(bytes([byte_of[i]]) if i in byte_of else names[i].encode() for i in row)
-                out.append(raw.decode("utf-8"))
+            out = [b"".join([raw[i] for i in row.as_py()]).decode() for row in batch.column(batch.schema.get_field_index(ids))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return words.mapInArrow(run, words.withColumn("decoded", F.lit("")).schema)
@@ -146,7 +151,7 @@ class Cache(NamedTuple):
     ids: bytes
 
     def at(self) -> dict[str, int]:
-        return per_worker(f"words {self.key}", lambda: {w: i for i, w in enumerate(self.words)})
+        return per_worker("words", self.key, lambda: {w: i for i, w in enumerate(self.words)})
 
 
 def frequent_words(documents: DataFrame, table: PieceTable, cached_words: int, sample_docs: int) -> Cache:
@@ -238,10 +243,11 @@ def encode_words(documents: DataFrame, table: PieceTable, id_column: str = "doc_
 
 
 def encode(documents: DataFrame, table: PieceTable, id_column: str = "doc_id", text_column: str = "text",
-           cached_words: int = 1 << 17, sample_docs: int = 10000) -> DataFrame:
-    """doc_id, ids and n_words of each row's whole text.
+           cached_words: int = 1 << 17, sample_docs: int = 10000, check: bool = False) -> DataFrame:
+    """doc_id, ids and n_words of each row's whole text; with ``check`` also ``decodes``: whether the ids give the text again.
 
     The ids of known words are written where a text is read, with gaps; the other words' ids are joined by row and fill them.
+    A space mark in a text is decoded as a space, which ``check`` allows for.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "encoded")
@@ -249,49 +255,67 @@ def encode(documents: DataFrame, table: PieceTable, id_column: str = "doc_id", t
     row = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("|"), text).cast("binary"))
     rows = documents.select(F.unhex(row).alias("row"), doc_id.alias("doc_id"), text.alias("text"))
     cache = spark.sparkContext.broadcast(frequent_words(rows, table, cached_words, sample_docs))
+    kind = np.uint16 if table.largest_id < 65536 else np.int32
+    raw = piece_bytes(table)
+    types = [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.string())]
+    names = ["row", "doc_id", "digest", "n_words", "ids", "gaps", "missing"]
 
     def partly(batches):
         known = cache.value.at()
         starts, ids = np.frombuffer(cache.value.starts, np.int64), np.frombuffer(cache.value.ids, np.int32)
+        out, size = [], 0
+
+        def batch_of():
+            columns = zip(*out) if out else [()] * len(types)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
         for batch in batches:
-            for row, d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                words = split_words(text.as_py())
+            for row, d, text in zip(*batch.columns):
+                text = text.as_py()
+                words = split_words(text)
                 which = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
                 gaps = np.flatnonzero(which < 0)
-                which = np.where(which < 0, 0, which)
+                which[gaps] = 0
                 sizes = starts[which + 1] - starts[which] if len(starts) > 1 else np.zeros(len(words), np.int64)
                 sizes[gaps] = 0
                 ends = np.concatenate([[0], np.cumsum(sizes)])
                 base = starts[which] if len(starts) > 1 else sizes
                 flat = ids[np.arange(ends[-1]) + np.repeat(base - ends[:-1], sizes)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row], pa.binary()), pa.array([d], pa.int64()), pa.array([len(words)], pa.int64()),
-                     pa.array([flat.astype(np.uint16 if table.largest_id < 65536 else np.int32).tobytes()], pa.binary()),
-                     pa.array([ends[gaps].astype(np.int32).tolist()], pa.list_(pa.int32())),
-                     pa.array([[words[i] for i in gaps]], pa.list_(pa.string()))],
-                    names=["row", "doc_id", "n_words", "ids", "gaps", "missing"])
-
-    part = scratch.keep(rows.mapInArrow(partly, "row binary, doc_id long, n_words long, ids binary, gaps array<int>, missing array<string>"),
-                        "partly")
+                digest = xxhash.xxh3_128_digest(text.replace(SPACE, " ").encode()) if check else None
+                out.append((row.as_py(), d.as_py(), digest, len(words), flat.astype(kind).tobytes(),
+                            ends[gaps].astype(np.int32), [words[i] for i in gaps]))
+                size += len(text)
+                if size > 1 << 20:
+                    yield batch_of()
+                    out, size = [], 0
+        yield batch_of()
+
+    part = scratch.keep(rows.mapInArrow(
+        partly, "row binary, doc_id long, digest binary, n_words long, ids binary, gaps array<int>, missing array<string>"), "partly")
     places = part.select("row", F.explode("missing").alias("word")).distinct()
     new = scratch.keep(encoded_words(places.select("word").distinct(), table), "words")
     found = places.join(new, "word").groupBy("row").agg(F.collect_list(F.struct("word", F.col("ids").alias("own"))).alias("found"))
 
     def filled(batches):
-        kind = np.uint16 if table.largest_id < 65536 else np.int32
         for whole in batches:
             for start in range(0, len(whole), 64):  # few at a time: texts become lists of Python objects
-                batch, out = whole.slice(start, 64), []
-                for ids, gaps, missing, found in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
-                    known, own = np.frombuffer(ids, kind).astype(np.int32), {f["word"]: f["own"] for f in found or []}
-                    more = [own[w] for w in missing]
-                    at = np.repeat(np.asarray(gaps, np.int64), [len(m) for m in more])
-                    out.append(np.insert(known, at, np.concatenate(more)) if more else known)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32())), batch.column(1)],
-                                                 names=["doc_id", "ids", "n_words"])
-
-    return part.join(found, "row", "left").select("doc_id", "n_words", "ids", "gaps", "missing", "found").mapInArrow(
-        filled, "doc_id long, ids array<int>, n_words long")
+                batch, out, decodes = whole.slice(start, 64), [], []
+                for digest, ids, gaps, missing, found in zip(*(batch.column(i) for i in range(2, 7))):
+                    all_ids, gaps = np.frombuffer(ids.as_py(), kind).astype(np.int32), gaps.as_py()
+                    if gaps:
+                        own = {f["word"]: f["own"] for f in found.as_py()}
+                        more = [own[w] for w in missing.as_py()]
+                        all_ids = np.insert(all_ids, np.repeat(np.asarray(gaps, np.int64), [len(m) for m in more]), np.concatenate(more))
+                    out.append(all_ids)
+                    if check:
+                        decoded = b"".join([raw[i] for i in all_ids.tolist()]).decode().replace(SPACE, " ")[1:]
+                        decodes.append(xxhash.xxh3_128_digest(decoded.encode()) == digest.as_py())
+                columns = [batch.column(0), pa.array(out, pa.list_(pa.int32())), batch.column(1)]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(decodes, pa.bool_())] * check,
+                                                 names=["doc_id", "ids", "n_words", "decodes"][:3 + check])
+
+    return part.join(found, "row", "left").select("doc_id", "n_words", "digest", "ids", "gaps", "missing", "found").mapInArrow(
+        filled, "doc_id long, ids array<int>, n_words long" + ", decodes boolean" * check)
 
 
 def decode(encoded: DataFrame, table: PieceTable, ids: str = "ids") -> DataFrame:

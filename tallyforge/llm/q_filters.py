@@ -19,8 +19,9 @@ def op5_toxicity_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @llm_query()
 def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents encoded and decoded: number of words and pieces, and a digest of the ids in order."""
-    return pieces.word_digests(pieces.encode_words(table(spark, sf_dir, "documents"), pieces.load_pieces()))
+    """All documents encoded and decoded: number of words and pieces, a digest of the ids in order, and whether they give the text."""
+    rows = pieces.encode(table(spark, sf_dir, "documents"), pieces.load_pieces(), check=True)
+    return rows.select("doc_id", "n_words", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_digest"), "decodes")
 
 
 LEVELS = ["domain", "lang", "source"]

@@ -199,7 +199,11 @@ def test_pieces_follow_the_library(spark, docs, none):
             (r[0], tuple(library.encode(r[1] or "")), r[1] or "") for r in made_up())
     digests = {r.doc_id: r for r in pieces.word_digests(pieces.encode_words(docs.dropDuplicates(["doc_id"]), table)).collect()}
     assert all(digests[r[0]].n_pieces == len(library.encode(r[1] or "")) and digests[r[0]].decodes for r in made_up() if r[0] is not None)
+    assert all(r.decodes for r in pieces.encode(docs, table, cached_words=50, check=True).collect())
+    marked = spark.createDataFrame([(1, "a▁b"), (1, "a b"), (2, None), (2, "漢")], "doc_id long, text string")
+    assert [r.decodes for r in pieces.encode(marked, table, check=True).collect()] == [True] * 4
     assert pieces.encode(none, table).collect() == []
+    assert pieces.encode(none, table, check=True).collect() == []
 
 
 def test_toxicity_held_out(spark, none):
