@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-A text is cut into words: spaces become the piece table's space mark, one is put in front, and a cut comes before each run of marks and
-around line ends, places no piece reaches across. All substrings of a word up to the longest piece's length are joined with
+A text is cut into words: spaces become the piece table's space mark, one is put in front, and a cut comes before each run of marks,
+around line ends, and between a letter and a sign that no piece holds side by side, all places no piece reaches across. All substrings of a word up to the longest piece's length are joined with
 the piece table, a character without a piece gets an edge of its byte pieces, and the edges of a word are folded in order of
 their ends by a higher-order aggregate that keeps the best score and the way to it at each place (Viterbi). Of equal scores the
 longer last piece wins. The lattice runs once for each distinct word; documents are joined with its result by word.
@@ -32,8 +32,6 @@ from .common import Scratch, per_worker, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: A line end by itself, or a run of marks with what follows up to the next mark or line end.
-WORDS = re.compile("\n|▁*[^▁\n]+|▁+")
 
 
 class PieceTable(NamedTuple):
@@ -46,6 +44,19 @@ class PieceTable(NamedTuple):
     def largest_id(self) -> int:
         return max(max(i for _, i, _ in self.pieces), *self.byte_ids)
 
+    @property
+    def words(self) -> re.Pattern:
+        """A line end by itself, or a run of marks with the signs, or with the other characters, that follow.
+
+        Signs are the characters, other than letters, that stand beside none but signs in any piece.
+        """
+        pairs = {(a, b) for p, _, _ in self.pieces for a, b in zip(p, p[1:]) if a != SPACE}
+        signs = {c for p, _, _ in self.pieces for c in p if not c.isalpha() and c not in (SPACE, "\n")}
+        while mixed := {c for a, b in pairs for c in (a, b) if c in signs and (a not in signs or b not in signs)}:
+            signs -= mixed
+        some = "".join(map(re.escape, sorted(signs)))
+        return re.compile(f"\n|▁*[{some}]+|▁*[^▁\n{some}]+|▁+" if some else "\n|▁*[^▁\n]+|▁+")
+
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.pieces, "piece string, id int, score double")
 
@@ -69,8 +80,8 @@ def load_pieces(path: str = MODEL) -> PieceTable:
     return PieceTable(rows, [bytes_[b] for b in range(256)], min(s for _, _, s in rows) - 10, max(len(p) for p, _, _ in rows))
 
 
-def split_words(text: str) -> list[str]:
-    return WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+def split_words(text: str, words: re.Pattern) -> list[str]:
+    return words.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
 def join_words(words: list[str]) -> str:
@@ -160,11 +171,13 @@ def frequent_words(documents: DataFrame, table: PieceTable, cached_words: int, s
     chosen = (rows.select(F.xxhash64("text").alias("h")).orderBy("h").limit(sample_docs).distinct())
     sample = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), "h").dropDuplicates(["h"])  # sample_docs numbers
 
+    cuts = table.words
+
     def count(batches):
         for batch in batches:
             n = Counter()
             for text in batch.column(0):
-                n.update(split_words(text.as_py()))
+                n.update(split_words(text.as_py(), cuts))
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
 
     top = (sample.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -186,14 +199,14 @@ def encode_words(documents: DataFrame, table: PieceTable, id_column: str = "doc_
     """
     spark = documents.sparkSession
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), text_of(text_column).alias("text"))
-    cache = spark.sparkContext.broadcast(frequent_words(rows, table, cached_words, sample_docs))
+    cache, cuts = spark.sparkContext.broadcast(frequent_words(rows, table, cached_words, sample_docs)), table.words
 
     def others(batches):
         """Words that are not sent along, once for each 50,000 or so."""
         known, new = cache.value.at(), set()
         for batch in batches:
             for text in batch.column(0):
-                new.update(w for w in split_words(text.as_py()) if w not in known)
+                new.update(w for w in split_words(text.as_py(), cuts) if w not in known)
                 if len(new) > 50000:
                     yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.string())], names=["word"])
                     new = set()
@@ -208,7 +221,7 @@ def encode_words(documents: DataFrame, table: PieceTable, id_column: str = "doc_
 
         for batch in batches:
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for i, w in enumerate(split_words(text.as_py())):
+                for i, w in enumerate(split_words(text.as_py(), cuts)):
                     if w not in known:
                         doc.append(d)
                         at.append(i)
@@ -223,7 +236,7 @@ def encode_words(documents: DataFrame, table: PieceTable, id_column: str = "doc_
         starts, ids = np.frombuffer(cache.value.starts, np.int64), np.frombuffer(cache.value.ids, np.int32)
         for batch in batches:
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = split_words(text.as_py())
+                words = split_words(text.as_py(), cuts)
                 which = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
                 at = np.flatnonzero(which >= 0).astype(np.int32) if len(words) else np.array([-1], np.int32)
                 which = which[which >= 0]
@@ -246,22 +259,33 @@ def encode(documents: DataFrame, table: PieceTable, id_column: str = "doc_id", t
            cached_words: int = 1 << 17, sample_docs: int = 10000, check: bool = False) -> DataFrame:
     """doc_id, ids and n_words of each row's whole text; with ``check`` also ``decodes``: whether the ids give the text again.
 
-    The ids of known words are written where a text is read, with gaps; the other words' ids are joined by row and fill them.
-    A space mark in a text is decoded as a space, which ``check`` allows for.
+    The ids of known words are found where a text is read, with gaps. The other words are joined with their ids and gathered by a
+    hash of id and text into small dictionaries, which fill the gaps; rows of one hash share a dictionary, so the hash need not be
+    unique, and as the dictionaries are written first, Spark can split the join where very many rows are the same. A space mark in a text is decoded as a space, which ``check`` allows for.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "encoded")
     doc_id, text = F.col(id_column).cast("long"), text_of(text_column)
-    row = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("|"), text).cast("binary"))
-    rows = documents.select(F.unhex(row).alias("row"), doc_id.alias("doc_id"), text.alias("text"))
-    cache = spark.sparkContext.broadcast(frequent_words(rows, table, cached_words, sample_docs))
+    rows = documents.select(F.xxhash64(doc_id, text).alias("key"), doc_id.alias("doc_id"), text.alias("text"))
+    cache, cuts = spark.sparkContext.broadcast(frequent_words(rows, table, cached_words, sample_docs)), table.words
     kind = np.uint16 if table.largest_id < 65536 else np.int32
     raw = piece_bytes(table)
-    types = [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.string())]
-    names = ["row", "doc_id", "digest", "n_words", "ids", "gaps", "missing"]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.string())]
+    names = ["key", "doc_id", "digest", "n_words", "ids", "gaps", "missing"]
 
-    def partly(batches):
+    def others(batches):
         known = cache.value.at()
+        for batch in batches:
+            for start in range(0, len(batch), 256):
+                keys, words = [], []
+                for key, text in zip(*(c.slice(start, 256) for c in batch.columns)):
+                    new = {w for w in split_words(text.as_py(), cuts) if w not in known}
+                    keys += [key.as_py()] * len(new)
+                    words += new
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(words, pa.string())], names=["key", "word"])
+
+    def partly(batches):
+        known, codec = cache.value.at(), pa.Codec("zstd")
         starts, ids = np.frombuffer(cache.value.starts, np.int64), np.frombuffer(cache.value.ids, np.int32)
         out, size = [], 0
 
@@ -270,9 +294,9 @@ def encode(documents: DataFrame, table: PieceTable, id_column: str = "doc_id", t
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
         for batch in batches:
-            for row, d, text in zip(*batch.columns):
+            for key, d, text in zip(*batch.columns):
                 text = text.as_py()
-                words = split_words(text)
+                words = split_words(text, cuts)
                 which = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
                 gaps = np.flatnonzero(which < 0)
                 which[gaps] = 0
@@ -280,28 +304,33 @@ def encode(documents: DataFrame, table: PieceTable, id_column: str = "doc_id", t
                 sizes[gaps] = 0
                 ends = np.concatenate([[0], np.cumsum(sizes)])
                 base = starts[which] if len(starts) > 1 else sizes
-                flat = ids[np.arange(ends[-1]) + np.repeat(base - ends[:-1], sizes)]
+                flat = ids[np.arange(ends[-1]) + np.repeat(base - ends[:-1], sizes)].astype(kind)
+                packed = len(flat).to_bytes(8, "little") + codec.compress(flat.tobytes(), asbytes=True) if len(flat) else b""
                 digest = xxhash.xxh3_128_digest(text.replace(SPACE, " ").encode()) if check else None
-                out.append((row.as_py(), d.as_py(), digest, len(words), flat.astype(kind).tobytes(),
-                            ends[gaps].astype(np.int32), [words[i] for i in gaps]))
+                out.append((key.as_py(), d.as_py(), digest, len(words), packed, ends[gaps].astype(np.int32), [words[i] for i in gaps]))
                 size += len(text)
                 if size > 1 << 20:
                     yield batch_of()
                     out, size = [], 0
         yield batch_of()
 
-    part = scratch.keep(rows.mapInArrow(
-        partly, "row binary, doc_id long, digest binary, n_words long, ids binary, gaps array<int>, missing array<string>"), "partly")
-    places = part.select("row", F.explode("missing").alias("word")).distinct()
+    places = scratch.keep(rows.select("key", "text").mapInArrow(others, "key long, word string"), "places")
     new = scratch.keep(encoded_words(places.select("word").distinct(), table), "words")
-    found = places.join(new, "word").groupBy("row").agg(F.collect_list(F.struct("word", F.col("ids").alias("own"))).alias("found"))
+    found = scratch.keep(places.join(new, "word").groupBy("key").agg(
+        F.collect_set(F.struct("word", F.col("ids").alias("own"))).alias("found")), "found")
+    scratch.drop("places", "words")
+    part = rows.mapInArrow(
+        partly, "key long, doc_id long, digest binary, n_words long, ids binary, gaps array<int>, missing array<string>")
 
     def filled(batches):
+        codec = pa.Codec("zstd")
         for whole in batches:
             for start in range(0, len(whole), 64):  # few at a time: texts become lists of Python objects
                 batch, out, decodes = whole.slice(start, 64), [], []
                 for digest, ids, gaps, missing, found in zip(*(batch.column(i) for i in range(2, 7))):
-                    all_ids, gaps = np.frombuffer(ids.as_py(), kind).astype(np.int32), gaps.as_py()
+                    ids, gaps = ids.as_py(), gaps.as_py()
+                    size = int.from_bytes(ids[:8], "little") * np.dtype(kind).itemsize
+                    all_ids = np.frombuffer(codec.decompress(ids[8:], size, asbytes=True) if size else b"", kind).astype(np.int32)
                     if gaps:
                         own = {f["word"]: f["own"] for f in found.as_py()}
                         more = [own[w] for w in missing.as_py()]
@@ -314,7 +343,7 @@ def encode(documents: DataFrame, table: PieceTable, id_column: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(decodes, pa.bool_())] * check,
                                                  names=["doc_id", "ids", "n_words", "decodes"][:3 + check])
 
-    return part.join(found, "row", "left").select("doc_id", "n_words", "digest", "ids", "gaps", "missing", "found").mapInArrow(
+    return part.join(found, "key", "left").select("doc_id", "n_words", "digest", "ids", "gaps", "missing", "found").mapInArrow(
         filled, "doc_id long, ids array<int>, n_words long" + ", decodes boolean" * check)
 
 
