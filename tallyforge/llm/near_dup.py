@@ -7,8 +7,10 @@ round throws everything into one given bin, so every coordinate fills. Two sketc
 of the sets' similarity, with bounds as for independent samples.
 
 Bands of ``rows_per_band`` coordinates give the buckets. Verification never takes all pairs of a bucket: first each member is
-compared with the bucket's smallest document; then, where a bucket still holds documents of several components, the pairs
-across components, and only these. Pairs within one component cannot change the result. With the defaults a link of
+compared with the bucket's smallest document; then, where a bucket still holds documents of several components, its documents
+are compared across components. For that, documents are dealt into blocks of bounded size, and two blocks that meet in a bucket
+go to one task, which counts all intersections of their full sets as a product of matrices: no pairs of documents are shuffled.
+Pairs within one component cannot change the result, so blocks of one and the same component do not meet. With the defaults a link of
 similarity 0.8 shares no bucket with a probability of 8e-6; a missed one may still be joined through others.
 
 Defined cases: null or empty text, or no words: empty set, component of its own; fewer words than a shingle: the whole sequence
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -122,6 +125,64 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent).select("a", "b")
 
 
+def _block_links(percent: int):
+    """Links across components of the documents of two blocks (``side`` 0 and 1), or of one block with itself; one a pair of components."""
+    def sides(table: pa.Table, side: int):
+        rows = table.filter(pc.equal(table.column("side"), side)).combine_chunks()
+        lists = rows.column("elements").combine_chunks()
+        n = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        return (rows.column("rep").to_numpy(), rows.column("component").to_numpy(), n, np.repeat(np.arange(len(n)), n),
+                lists.flatten().to_numpy(zero_copy_only=False))
+
+    def run(key, table):
+        rep_a, part_a, n_a, row_a, value_a = one = sides(table, 0)
+        rep_b, part_b, n_b, row_b, value_b = one if key[0].as_py() == key[1].as_py() else sides(table, 1)
+        shared = np.intersect1d(value_a, value_b)
+        common = np.zeros((len(n_a), len(n_b)), np.int64)
+        for start in range(0, len(shared), 4096):
+            some = shared[start:start + 4096]
+
+            def marks(rows, values, n):
+                at = np.minimum(np.searchsorted(some, values), len(some) - 1)
+                hit = some[at] == values
+                out = np.zeros((n, len(some)), np.float32)
+                out[rows[hit], at[hit]] = 1
+                return out
+
+            common += (marks(row_a, value_a, len(n_a)) @ marks(row_b, value_b, len(n_b)).T).astype(np.int64)
+        near = common * 100 >= (n_a[:, None] + n_b[None, :] - common) * percent
+        x, y = np.nonzero(near & (part_a[:, None] != part_b[None, :]))
+        first = np.unique(np.stack([part_a[x], part_b[y]]), axis=1, return_index=True)[1] if len(x) else x
+        a, b = rep_a[x[first]], rep_b[y[first]]
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+    return run
+
+
+def _links_across(placed: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int, scratch: Scratch,
+                  block_docs: int = 256, block_elements: int = 200000) -> DataFrame:
+    """Links (a, b) between components that meet in buckets: of ``placed`` (key, rep, component, m: the key's smallest component).
+
+    A block holds about ``block_docs`` documents, or ``block_elements`` elements, that meet one component, and either only that
+    component's own or only others. The bounds decide what is compared in one task, not what is found.
+    """
+    rows = placed.groupBy("rep", "component").agg(F.min("m").alias("m")).join(sizes, "rep").withColumn("own", F.col("m") == F.col("component"))
+    number = rows.groupBy("m", "own").agg(
+        F.ceil(F.greatest(F.count("*") / block_docs, F.sum("n") / block_elements)).alias("blocks"))
+    blocks = scratch.keep(rows.join(number, ["m", "own"]).select(
+        "rep", "component", F.xxhash64("m", "own", F.pmod(F.xxhash64("rep"), "blocks")).alias("block")), "blocks")
+    meet = placed.join(blocks.select("rep", "block"), "rep").groupBy("key", "block").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"))
+    other = meet.select("key", F.col("block").alias("other"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
+    pairs = (meet.join(other, "key").filter("block <= other AND least(low, other_low) < greatest(high, other_high)")
+             .select("block", "other").distinct())
+    held = blocks.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    columns = ["block", "other", "side", "rep", "component", "elements"]
+    left = pairs.join(held, "block").withColumn("side", F.lit(0)).select(columns)
+    right = pairs.filter("block <> other").join(held.withColumnRenamed("block", "other"), "other").withColumn("side", F.lit(1)).select(columns)
+    return left.union(right).groupBy("block", "other").applyInArrow(_block_links(percent), "a long, b long").distinct()
+
+
 def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 2,
                     percent: int = 80, bands: int = 64, rows_per_band: int = 8) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links) and kept (doc_id = component_id).
@@ -161,19 +222,12 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
 
     placed = shared.select("key", "rep").join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("component"))
-    groups = placed.groupBy("key").agg(F.min("component").alias("m"), F.max("component").alias("z")).filter("m <> z").select("key")
-    placed = scratch.keep(placed.join(groups, "key", "left_semi").distinct(), "placed")
-    groups = scratch.keep(placed.select("key", "component").distinct(), "groups")
-    across = (groups.select("key", F.col("component").alias("c")).join(groups.select("key", F.col("component").alias("d")), "key")
-              .filter("c < d"))
-    across = across.join(placed.select("key", F.col("component").alias("c"), F.col("rep").alias("x")), ["key", "c"])
-    across = across.join(placed.select("key", F.col("component").alias("d"), F.col("rep").alias("y")), ["key", "d"])
-    second = (across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-              .join(first, ["a", "b"], "left_anti"))
-    more = scratch.keep(_verified(sized(second), sets, percent), "more-links")
+    groups = placed.groupBy("key").agg(F.min("component").alias("m"), F.max("component").alias("z")).filter("m <> z").select("key", "m")
+    placed = scratch.keep(placed.join(groups, "key").distinct(), "placed")
+    more = scratch.keep(_links_across(placed, sizes, sets, percent, scratch), "more-links")
     parts = scratch.keep(components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), scratch, "second"),
                          "components")
-    scratch.drop("buckets", "sizes", "sets", "pairs", "links", "parts", "groups", "placed", "more-links")
+    scratch.drop("buckets", "sizes", "sets", "pairs", "links", "parts", "placed", "blocks", "more-links")
 
     ends = member.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").groupBy("doc_id").agg(
         F.min(F.coalesce("component", "rep")).alias("component"))

@@ -106,6 +106,29 @@ def test_near_duplicates(spark, docs, none, width):
         assert near_dup.near_duplicates(none).collect() == []
 
 
+@pytest.mark.parametrize("bounds", [(2, 100), (256, 200000), (5, 30)])
+def test_links_across_components_in_blocks(spark, bounds):
+    r = random.Random(9)
+    base = r.sample(range(10000), 30)
+    sets = {i: sorted(set(base[:r.randint(20, 30)] + r.sample(range(10000, 10100), r.randint(0, 6)))) for i in range(40)}
+    part = {i: 0 if i < 15 else i for i in sets}
+    keys = {k: set(r.sample(range(40), 12)) | {0} for k in range(9)}
+    placed = spark.createDataFrame([(k, i, part[i], min(part[j] for j in m)) for k, m in keys.items() for i in m],
+                                   "key long, rep long, component long, m long")
+    scratch = near_dup.Scratch(spark, "blocks-test")
+    got = {(x.a, x.b) for x in near_dup._links_across(
+        placed, spark.createDataFrame([(i, len(s)) for i, s in sets.items()], "rep long, n long"),
+        spark.createDataFrame(list(sets.items()), "doc_id long, elements array<long>"), 80, scratch, *bounds).collect()}
+
+    def linked(a, b):
+        return 100 * len(set(sets[a]) & set(sets[b])) >= 80 * len(set(sets[a]) | set(sets[b]))
+
+    assert got and all(linked(a, b) and part[a] != part[b] for a, b in got)
+    joined = {(part[a], part[b]) for a, b in got} | {(part[b], part[a]) for a, b in got}
+    for m in keys.values():
+        assert all((part[a], part[b]) in joined for a in m for b in m if part[a] != part[b] and linked(a, b))
+
+
 def test_sketch_agreement_follows_similarity():
     import numpy as np
     rng, shares = np.random.default_rng(5), []
