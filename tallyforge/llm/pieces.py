@@ -6,9 +6,9 @@ the piece table, a character without a piece gets an edge of its byte pieces, an
 their ends by a higher-order aggregate that keeps the best score and the way to it at each place (Viterbi). Of equal scores the
 longer last piece wins. The lattice runs once for each distinct word; documents are joined with its result by word.
 
-The words most frequent in a bounded sample of documents (``cached_words``, ``sample_docs``) are joined where the documents are
+The words most frequent in a bounded sample of documents (``cached_words``, ``sample_docs``) are looked up where the documents are
 read: their encodings are sent to all tasks, and their number is fixed. All other words go through a shuffled join. The bounds
-change where a word is joined, not its encoding. Which scores the file has is not judged: a table made for another
+change where a word is joined, not its encoding. Texts are cut into words a few megabytes at a time, on arrays of code points. Which scores the file has is not judged: a table made for another
 algorithm gives the best path by its scores.
 
 Defined cases: null text is empty, and an empty text has no words; any character is encodable by bytes; rows are independent, repeated
@@ -17,9 +17,6 @@ ones are encoded each; an empty table gives no rows; other columns are kept by `
 
 from __future__ import annotations
 
-import re
-import uuid
-from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
@@ -28,10 +25,12 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import Scratch, per_worker, text_of
+from .common import Scratch, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
+#: Bytes of text that are cut into words at a time.
+SLICE = 1 << 22
 
 
 class PieceTable(NamedTuple):
@@ -45,17 +44,13 @@ class PieceTable(NamedTuple):
         return max(max(i for _, i, _ in self.pieces), *self.byte_ids)
 
     @property
-    def words(self) -> re.Pattern:
-        """A line end by itself, or a run of marks with the signs, or with the other characters, that follow.
-
-        Signs are the characters, other than letters, that stand beside none but signs in any piece.
-        """
+    def signs(self) -> str:
+        """The characters, other than letters, that stand beside none but signs in any piece."""
         pairs = {(a, b) for p, _, _ in self.pieces for a, b in zip(p, p[1:]) if a != SPACE}
         signs = {c for p, _, _ in self.pieces for c in p if not c.isalpha() and c not in (SPACE, "\n")}
         while mixed := {c for a, b in pairs for c in (a, b) if c in signs and (a not in signs or b not in signs)}:
             signs -= mixed
-        some = "".join(map(re.escape, sorted(signs)))
-        return re.compile(f"\n|▁*[{some}]+|▁*[^▁\n{some}]+|▁+" if some else "\n|▁*[^▁\n]+|▁+")
+        return "".join(sorted(signs))
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.pieces, "piece string, id int, score double")
@@ -80,20 +75,51 @@ def load_pieces(path: str = MODEL) -> PieceTable:
     return PieceTable(rows, [bytes_[b] for b in range(256)], min(s for _, _, s in rows) - 10, max(len(p) for p, _, _ in rows))
 
 
-def split_words(text: str, words: re.Pattern) -> list[str]:
-    return words.findall(SPACE + text.replace(" ", SPACE)) if text else []
+LETTER, SIGN, MARK, LINE_END = range(4)
 
 
-def join_words(words: list[str]) -> str:
-    return "".join(words).replace(SPACE, " ")[1:]
+def kinds_of(signs: str) -> np.ndarray:
+    """The kind of each code point."""
+    kinds = np.full(0x110000, LETTER, np.uint8)
+    kinds[[ord(c) for c in signs]] = SIGN
+    kinds[ord(SPACE)], kinds[ord("\n")] = MARK, LINE_END
+    return kinds
 
 
-def encoded_words(words: DataFrame, table: PieceTable) -> DataFrame:
-    """word, ids of distinct words (column ``word``, none empty).
+def slices(batch: pa.RecordBatch, column: str):
+    """Parts of a batch with about ``SLICE`` bytes of text each, or one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(batch):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + SLICE, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
 
-    An edge is its score and a number made of its end, 255 less its length, and its id, so that numbers sort by end and, of one
-    end, longer pieces come first. Words may have 2^24 characters.
-    """
+
+class Words(NamedTuple):
+    """The words of some texts: all in a row, where each text's words start in that row, and each text with marks, in UTF-8."""
+    all: pa.StringArray
+    bounds: np.ndarray
+    marked: list[bytes]
+
+
+def split_words(texts: pa.Array, kinds: np.ndarray) -> Words:
+    """A word is a line end by itself, or a run of marks with the signs, or with the other characters, that follow."""
+    marked = [(SPACE + t.replace(" ", SPACE)).encode() if t else b"" for t in texts.to_pylist()]
+    whole, at = b"".join(marked), np.concatenate([[0], np.cumsum([len(t) for t in marked])]).astype(np.int64)
+    raw = np.frombuffer(whole, np.uint8)
+    kind = kinds[np.frombuffer(whole.decode().encode("utf-32-le"), np.uint32)]
+    chars = np.flatnonzero((raw & 0xC0) != 0x80)
+    cut = np.ones(len(kind), bool)
+    cut[1:] = (kind[:-1] == LINE_END) | (kind[1:] == LINE_END) | ((kind[1:] != kind[:-1]) & (kind[:-1] != MARK))
+    cut[np.searchsorted(chars, at[:-1][np.diff(at) > 0])] = True
+    starts = chars[cut]
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)), pa.py_buffer(whole))
+    return Words(words.cast(pa.string()), np.searchsorted(starts, at), marked)
+
+
+def encoded_words(words: DataFrame, table: PieceTable) -> DataFrame:
+    """word, ids of distinct words (column ``word``, none empty). Edges sort by end and, of one end, longer pieces come first."""
     spark, unknown = words.sparkSession, table.largest_id + 1
     longest = F.lit(min(table.longest, 255))
     placed = words.select("word").repartition("word").select("word", F.length("word").alias("n"))
@@ -101,15 +127,10 @@ def encoded_words(words: DataFrame, table: PieceTable) -> DataFrame:
     spans = starts.select("word", "at", F.explode(F.sequence(F.lit(1), F.least(longest, F.col("n") - F.col("at") + 1))).alias("size")).select(
         "word", "at", "size", F.col("word").substr(F.col("at"), F.col("size")).alias("piece"))
     known = F.broadcast(table.frame(spark))  # the piece table: its size is that of the model file
-    number = (F.shiftleft((F.col("at") + F.col("size") - 1).cast("long"), 39) + F.shiftleft((255 - F.col("size")).cast("long"), 31)
-              + F.coalesce("id", F.lit(unknown)))
-    edges = (spans.join(known, "piece", "left").filter("id IS NOT NULL OR size = 1")
-             .select("word", F.struct(number.alias("k"), F.coalesce("score", F.lit(table.unknown_score)).alias("score")).alias("edge"))
+    edge = F.struct((F.col("at") + F.col("size") - 1).alias("end"), (F.col("at") - 1).alias("start"),
+                    F.coalesce("id", F.lit(unknown)).alias("id"), F.coalesce("score", F.lit(table.unknown_score)).alias("score"))
+    edges = (spans.join(known, "piece", "left").filter("id IS NOT NULL OR size = 1").select("word", edge.alias("edge"))
              .groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("edges")))
-    edges = edges.select("word", F.expr(
-        "transform(edges, e -> named_struct('end', CAST(shiftright(e.k, 39) AS INT), 'start', "
-        "CAST(shiftright(e.k, 39) - 255 + (shiftright(e.k, 31) & 255) AS INT), 'score', e.score, 'id', CAST(e.k & 2147483647 AS INT)))"
-    ).alias("edges"))
     state = "struct<best:array<struct<score:double,start:int,id:int>>,at:int,score:double,start:int,id:int>"
     fold = f"""
       aggregate(edges,
@@ -156,194 +177,178 @@ def decoded_words(words: DataFrame, table: PieceTable, ids: str = "ids") -> Data
 
 class Cache(NamedTuple):
     """Encodings of a fixed number of words, as sent to the tasks: words, where each one's ids start, all ids."""
-    key: str
-    words: list[str]
-    starts: bytes
-    ids: bytes
-
-    def at(self) -> dict[str, int]:
-        return per_worker("words", self.key, lambda: {w: i for i, w in enumerate(self.words)})
+    words: pa.StringArray
+    starts: np.ndarray
+    ids: np.ndarray
 
 
 def frequent_words(documents: DataFrame, table: PieceTable, cached_words: int, sample_docs: int) -> Cache:
     """The encodings of the most frequent words of the first ``sample_docs`` documents by a hash of their text."""
-    rows = documents.select(text_of("text").alias("text")).filter("text <> ''")
-    chosen = (rows.select(F.xxhash64("text").alias("h")).orderBy("h").limit(sample_docs).distinct())
+    rows = documents.select("text").filter("text <> ''")
+    chosen = rows.select(F.xxhash64("text").alias("h")).orderBy("h").limit(sample_docs).distinct()
     sample = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), "h").dropDuplicates(["h"])  # sample_docs numbers
-
-    cuts = table.words
+    signs = table.signs
 
     def count(batches):
+        kinds = kinds_of(signs)
         for batch in batches:
-            n = Counter()
-            for text in batch.column(0):
-                n.update(split_words(text.as_py(), cuts))
-            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
+            for part in slices(batch, "text"):
+                n = split_words(part.column("text"), kinds).all.value_counts()
+                yield pa.RecordBatch.from_arrays([n.field(0), n.field(1)], names=["word", "n"])
 
     top = (sample.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "word").limit(cached_words).select("word"))
-    found = decoded_words(encoded_words(top, table), table).filter("decoded = word").select("word", "ids").toArrow()
-    lists = found.column("ids").combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
-    starts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))])
-    return Cache(uuid.uuid4().hex, found.column("word").to_pylist(), starts.astype(np.int64).tobytes(),
-                 lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32).tobytes())
+    found = encoded_words(top, table).toArrow()  # cached_words rows
+    words = pa.concat_arrays([c.cast(pa.string()) for c in found.column("word").chunks] or [pa.array([], pa.string())])
+    lists = pa.concat_arrays([c.cast(pa.list_(pa.int32())) for c in found.column("ids").chunks] or [pa.array([], pa.list_(pa.int32()))])
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    return Cache(words, np.concatenate([[0], np.cumsum(sizes)]), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32))
 
 
-def encode_words(documents: DataFrame, table: PieceTable, id_column: str = "doc_id", text_column: str = "text",
-                 cached_words: int = 1 << 17, sample_docs: int = 10000) -> DataFrame:
+def encode_words(documents: DataFrame, table: PieceTable, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, position (from 0), ids, decodes: a row for each word of each text; one with position -1 for a text without words.
 
     ``decodes`` tells whether the ids decode to the word; it is false for none of them.
     """
-    spark = documents.sparkSession
-    rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), text_of(text_column).alias("text"))
-    cache, cuts = spark.sparkContext.broadcast(frequent_words(rows, table, cached_words, sample_docs)), table.words
+    signs = table.signs
 
-    def others(batches):
-        """Words that are not sent along, once for each 50,000 or so."""
-        known, new = cache.value.at(), set()
+    def places(batches):
+        kinds = kinds_of(signs)
         for batch in batches:
-            for text in batch.column(0):
-                new.update(w for w in split_words(text.as_py(), cuts) if w not in known)
-                if len(new) > 50000:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.string())], names=["word"])
-                    new = set()
-        yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.string())], names=["word"])
-
-    def other_places(batches):
-        known, doc, at, words = cache.value.at(), [], [], []
+            for part in slices(batch, "text"):
+                words, bounds, _ = split_words(part.column("text"), kinds)
+                doc = np.repeat(np.arange(len(part)), np.diff(bounds))
+                empty = np.flatnonzero(np.diff(bounds) == 0)
+                ids = part.column("doc_id").take(pa.array(np.concatenate([doc, empty])))
+                at = np.concatenate([np.arange(len(words)) - bounds[doc], np.full(len(empty), -1)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(at), pa.concat_arrays([words, pa.nulls(len(empty), pa.string())])],
+                                                 names=["doc_id", "position", "word"])
 
-        def batch_of():
-            return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(at, pa.int32()), pa.array(words, pa.string())],
-                                              names=["doc_id", "position", "word"])
-
-        for batch in batches:
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for i, w in enumerate(split_words(text.as_py(), cuts)):
-                    if w not in known:
-                        doc.append(d)
-                        at.append(i)
-                        words.append(w)
-                if len(doc) > 20000:
-                    yield batch_of()
-                    doc, at, words = [], [], []
-        yield batch_of()
-
-    def known_places(batches):
-        known = cache.value.at()
-        starts, ids = np.frombuffer(cache.value.starts, np.int64), np.frombuffer(cache.value.ids, np.int32)
-        for batch in batches:
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = split_words(text.as_py(), cuts)
-                which = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
-                at = np.flatnonzero(which >= 0).astype(np.int32) if len(words) else np.array([-1], np.int32)
-                which = which[which >= 0]
-                sizes = starts[which + 1] - starts[which] if len(words) else np.array([0])
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                flat = ids[np.arange(ends[-1]) + np.repeat(starts[which] - ends[:-1], sizes)] if len(which) else ids[:0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([d] * len(at), pa.int64()), pa.array(at), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                    names=["doc_id", "position", "ids"])
-
-    new = encoded_words(rows.select("text").mapInArrow(others, "word string").distinct(), table)
-    new = Scratch(spark, "pieces").keep(decoded_words(new, table).select("word", "ids", (F.col("decoded") == F.col("word")).alias("decodes")),
-                                        "words")
-    rest = rows.mapInArrow(other_places, "doc_id long, position int, word string").join(new, "word")
-    known = rows.mapInArrow(known_places, "doc_id long, position int, ids array<int>").withColumn("decodes", F.lit(True))
-    return known.unionByName(rest.select("doc_id", "position", "ids", "decodes"))
+    rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), text_of(text_column).alias("text"))
+    found = Scratch(documents.sparkSession, "pieces").keep(rows.mapInArrow(places, "doc_id long, position int, word string"), "places")
+    new = decoded_words(encoded_words(found.select("word").filter("word IS NOT NULL").distinct(), table), table)
+    new = new.select("word", "ids", (F.col("decoded") == F.col("word")).alias("decodes"))
+    return found.join(new, "word", "left").select(
+        "doc_id", "position", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"), F.coalesce("decodes", F.lit(True)).alias("decodes"))
+
+
+class Gaps(NamedTuple):
+    """Words that are not sent along, in the texts of a slice: the place of each, its number within its text by first appearance;
+    for each text and distinct word of it the text's number, the word's number and the word; and of all words the place in the cache."""
+    at: np.ndarray
+    number: np.ndarray
+    text: np.ndarray
+    numbers: np.ndarray
+    words: pa.Array
+    which: np.ndarray
+
+
+def gaps_of(words: Words, cache: Cache) -> Gaps:
+    coded = words.all.dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    known = pc.fill_null(pc.index_in(coded.dictionary, value_set=cache.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    which = known[code]
+    at = np.flatnonzero(which < 0)
+    text = np.searchsorted(words.bounds, at, "right") - 1
+    _, first, same = np.unique(text * max(1, len(known)) + code[at], return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    texts = text[first[order]]
+    before = np.searchsorted(texts, np.arange(len(words.bounds)))  # distinct words of the texts before
+    return Gaps(at, rank[same] - before[text], texts, np.arange(len(texts)) - before[texts],
+                coded.dictionary.take(pa.array(code[at][first[order]])), which)
+
+
+def runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each run, run after run."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
 
 
 def encode(documents: DataFrame, table: PieceTable, id_column: str = "doc_id", text_column: str = "text",
            cached_words: int = 1 << 17, sample_docs: int = 10000, check: bool = False) -> DataFrame:
     """doc_id, ids and n_words of each row's whole text; with ``check`` also ``decodes``: whether the ids give the text again.
 
-    The ids of known words are found where a text is read, with gaps. The other words are joined with their ids and gathered by a
-    hash of id and text into small dictionaries, which fill the gaps; rows of one hash share a dictionary, so the hash need not be
-    unique, and as the dictionaries are written first, Spark can split the join where very many rows are the same. A space mark in a text is decoded as a space, which ``check`` allows for.
+    The ids of known words are found where a text is read, with gaps. The other words are numbered in each text, joined with their
+    ids by word, and gathered by document id and a hash of the text into small dictionaries (number, ids), which fill the gaps.
+    The dictionaries are written first, so that Spark can split the join where very many rows are the same. A space mark in a text
+    is decoded as a space, which ``check`` allows for.
     """
     spark = documents.sparkSession
-    scratch = Scratch(spark, "encoded")
+    scratch, signs = Scratch(spark, "encoded"), table.signs
     doc_id, text = F.col(id_column).cast("long"), text_of(text_column)
-    rows = documents.select(F.xxhash64(doc_id, text).alias("key"), doc_id.alias("doc_id"), text.alias("text"))
-    cache, cuts = spark.sparkContext.broadcast(frequent_words(rows, table, cached_words, sample_docs)), table.words
-    kind = np.uint16 if table.largest_id < 65536 else np.int32
+    rows = documents.select(F.coalesce(doc_id, F.lit(0).cast("long")).alias("d"), F.xxhash64(doc_id.isNull(), text).alias("h"),
+                            doc_id.alias("doc_id"), text.alias("text"))
+    sent = spark.sparkContext.broadcast(frequent_words(rows, table, cached_words, sample_docs))
+    kind = np.dtype(np.uint16 if table.largest_id < 65536 else np.int32)
     raw = piece_bytes(table)
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.string())]
-    names = ["key", "doc_id", "digest", "n_words", "ids", "gaps", "missing"]
 
     def others(batches):
-        known = cache.value.at()
+        kinds, cache = kinds_of(signs), sent.value
         for batch in batches:
-            for start in range(0, len(batch), 256):
-                keys, words = [], []
-                for key, text in zip(*(c.slice(start, 256) for c in batch.columns)):
-                    new = {w for w in split_words(text.as_py(), cuts) if w not in known}
-                    keys += [key.as_py()] * len(new)
-                    words += new
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(words, pa.string())], names=["key", "word"])
+            for part in slices(batch, "text"):
+                gaps = gaps_of(split_words(part.column("text"), kinds), cache)
+                text = pa.array(gaps.text)
+                yield pa.RecordBatch.from_arrays([part.column("d").take(text), part.column("h").take(text),
+                                                  pa.array(gaps.numbers.astype(np.int32)), gaps.words], names=["d", "h", "number", "word"])
 
     def partly(batches):
-        known, codec = cache.value.at(), pa.Codec("zstd")
-        starts, ids = np.frombuffer(cache.value.starts, np.int64), np.frombuffer(cache.value.ids, np.int32)
-        out, size = [], 0
-
-        def batch_of():
-            columns = zip(*out) if out else [()] * len(types)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
-
+        kinds, cache, codec = kinds_of(signs), sent.value, pa.Codec("zstd")
         for batch in batches:
-            for key, d, text in zip(*batch.columns):
-                text = text.as_py()
-                words = split_words(text, cuts)
-                which = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
-                gaps = np.flatnonzero(which < 0)
-                which[gaps] = 0
-                sizes = starts[which + 1] - starts[which] if len(starts) > 1 else np.zeros(len(words), np.int64)
-                sizes[gaps] = 0
+            for part in slices(batch, "text"):
+                words = split_words(part.column("text"), kinds)
+                gaps = gaps_of(words, cache)
+                known = np.where(gaps.which < 0, 0, gaps.which)
+                sizes = np.diff(cache.starts)[known] if len(cache.words) else np.zeros(len(known), np.int64)
+                sizes[gaps.at] = 0
+                ids = cache.ids[runs(cache.starts[known], sizes)].astype(kind)
                 ends = np.concatenate([[0], np.cumsum(sizes)])
-                base = starts[which] if len(starts) > 1 else sizes
-                flat = ids[np.arange(ends[-1]) + np.repeat(base - ends[:-1], sizes)].astype(kind)
-                packed = len(flat).to_bytes(8, "little") + codec.compress(flat.tobytes(), asbytes=True) if len(flat) else b""
-                digest = xxhash.xxh3_128_digest(text.replace(SPACE, " ").encode()) if check else None
-                out.append((key.as_py(), d.as_py(), digest, len(words), packed, ends[gaps].astype(np.int32), [words[i] for i in gaps]))
-                size += len(text)
-                if size > 1 << 20:
-                    yield batch_of()
-                    out, size = [], 0
-        yield batch_of()
-
-    places = scratch.keep(rows.select("key", "text").mapInArrow(others, "key long, word string"), "places")
-    new = scratch.keep(encoded_words(places.select("word").distinct(), table), "words")
-    found = scratch.keep(places.join(new, "word").groupBy("key").agg(
-        F.collect_set(F.struct("word", F.col("ids").alias("own"))).alias("found")), "found")
-    scratch.drop("places", "words")
-    part = rows.mapInArrow(
-        partly, "key long, doc_id long, digest binary, n_words long, ids binary, gaps array<int>, missing array<string>")
+                split = np.searchsorted(gaps.at, words.bounds)
+                packed, digests = [], []
+                for i, (a, b, x, y) in enumerate(zip(words.bounds, words.bounds[1:], split, split[1:])):
+                    own, places = ids[ends[a]:ends[b]], (ends[gaps.at[x:y]] - ends[a]).astype(np.int32)
+                    data = np.diff(places, prepend=np.int32(0)).tobytes() + gaps.number[x:y].astype(np.int32).tobytes() + own.tobytes()
+                    packed.append(int(y - x).to_bytes(8, "little") + len(data).to_bytes(8, "little") + (codec.compress(data, asbytes=True) if data else b""))
+                    digests.append(xxhash.xxh3_128_digest(words.marked[i]) if check else None)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("d"), part.column("h"), part.column("doc_id"), pa.array(digests, pa.binary()),
+                     pa.array(np.diff(words.bounds).astype(np.int64)), pa.array(packed, pa.binary())],
+                    names=["d", "h", "doc_id", "digest", "n_words", "packed"])
 
     def filled(batches):
         codec = pa.Codec("zstd")
         for whole in batches:
-            for start in range(0, len(whole), 64):  # few at a time: texts become lists of Python objects
+            for start in range(0, len(whole), 64):
                 batch, out, decodes = whole.slice(start, 64), [], []
-                for digest, ids, gaps, missing, found in zip(*(batch.column(i) for i in range(2, 7))):
-                    ids, gaps = ids.as_py(), gaps.as_py()
-                    size = int.from_bytes(ids[:8], "little") * np.dtype(kind).itemsize
-                    all_ids = np.frombuffer(codec.decompress(ids[8:], size, asbytes=True) if size else b"", kind).astype(np.int32)
-                    if gaps:
-                        own = {f["word"]: f["own"] for f in found.as_py()}
-                        more = [own[w] for w in missing.as_py()]
-                        all_ids = np.insert(all_ids, np.repeat(np.asarray(gaps, np.int64), [len(m) for m in more]), np.concatenate(more))
-                    out.append(all_ids)
+                for digest, packed, found in zip(*(batch.column(n) for n in ("digest", "packed", "found"))):
+                    packed = packed.as_py()
+                    n, size = int.from_bytes(packed[:8], "little"), int.from_bytes(packed[8:16], "little")
+                    data = codec.decompress(packed[16:], size, asbytes=True) if size else b""
+                    ids = np.frombuffer(data, kind, offset=8 * n).astype(np.int32) if size else np.zeros(0, np.int32)
+                    if n:
+                        at, number = np.cumsum(np.frombuffer(data, np.int32, n)), np.frombuffer(data, np.int32, n, 4 * n)
+                        numbers, own = found.values.flatten()
+                        sizes = pc.list_value_length(own).to_numpy(zero_copy_only=False).astype(np.int64)
+                        place = np.empty(len(numbers), np.int64)
+                        place[numbers.to_numpy(zero_copy_only=False)] = np.arange(len(numbers))
+                        place = place[number]
+                        more = own.flatten().to_numpy(zero_copy_only=False)[runs((np.cumsum(sizes) - sizes)[place], sizes[place])]
+                        ids = np.insert(ids, np.repeat(at, sizes[place]), more)
+                    out.append(ids)
                     if check:
-                        decoded = b"".join([raw[i] for i in all_ids.tolist()]).decode().replace(SPACE, " ")[1:]
-                        decodes.append(xxhash.xxh3_128_digest(decoded.encode()) == digest.as_py())
-                columns = [batch.column(0), pa.array(out, pa.list_(pa.int32())), batch.column(1)]
+                        decodes.append(xxhash.xxh3_128_digest(b"".join(map(raw.__getitem__, ids.tolist()))) == digest.as_py())
+                columns = [batch.column("doc_id"), pa.array(out, pa.list_(pa.int32())), batch.column("n_words")]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(decodes, pa.bool_())] * check,
                                                  names=["doc_id", "ids", "n_words", "decodes"][:3 + check])
 
-    return part.join(found, "key", "left").select("doc_id", "n_words", "digest", "ids", "gaps", "missing", "found").mapInArrow(
+    places = scratch.keep(rows.select("d", "h", "text").mapInArrow(others, "d long, h long, number int, word string"), "places")
+    new = scratch.keep(encoded_words(places.select("word").distinct(), table), "words")
+    found = scratch.keep(places.join(new, "word").groupBy("d", "h").agg(
+        F.collect_set(F.struct("number", F.col("ids").alias("own"))).alias("found")), "found")
+    scratch.drop("places", "words")
+    part = rows.mapInArrow(partly, "d long, h long, doc_id long, digest binary, n_words long, packed binary")
+    return part.join(found, ["d", "h"], "left").select("doc_id", "n_words", "digest", "packed", "found").mapInArrow(
         filled, "doc_id long, ids array<int>, n_words long" + ", decodes boolean" * check)
 
 
