@@ -8,7 +8,7 @@ longer last piece wins. The lattice runs once for each distinct word; documents
 
 The words most frequent in a bounded sample of documents (``cached_words``, ``sample_docs``) are looked up where the documents are
 read: their encodings are sent to all tasks, and their number is fixed. All other words go through a shuffled join. The bounds
-change where a word is joined, not its encoding. Texts are cut into words a few megabytes at a time, on arrays of code points. Which scores the file has is not judged: a table made for another
+change where a word is joined, not its encoding. Texts are cut into words a megabyte at a time, on arrays of code points. Which scores the file has is not judged: a table made for another
 algorithm gives the best path by its scores.
 
 Defined cases: null text is empty, and an empty text has no words; any character is encodable by bytes; rows are independent, repeated
@@ -30,7 +30,7 @@ from .common import Scratch, text_of
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Bytes of text that are cut into words at a time.
-SLICE = 1 << 22
+SLICE = 1 << 20
 
 
 class PieceTable(NamedTuple):
@@ -87,7 +87,7 @@ def kinds_of(signs: str) -> np.ndarray:
 
 
 def slices(batch: pa.RecordBatch, column: str):
-    """Parts of a batch with about ``SLICE`` bytes of text each, or one longer text."""
+    """Parts of a batch with at most ``SLICE`` bytes of text each, or one longer text."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(batch):
