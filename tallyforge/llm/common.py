@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..workspace import scratch_path
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -33,8 +35,16 @@ class Scratch:
         self.root = scratch_path(spark, label)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes the rows; what follows reads them and does not repeat the work, also after a lost executor."""
-        df.write.mode("error").parquet(f"{self.root}/{name}")
+        """Writes the rows; what follows reads them and does not repeat the work, also after a lost executor.
+
+        Spark drops the shuffle files of the write when it has ended: only the table is read again.
+        """
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("error").parquet(f"{self.root}/{name}")
+        finally:
+            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:
