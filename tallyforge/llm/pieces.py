@@ -344,9 +344,10 @@ def encode(documents: DataFrame, table: PieceTable, id_column: str = "doc_id", t
 
     places = scratch.keep(rows.select("d", "h", "text").mapInArrow(others, "d long, h long, number int, word string"), "places")
     new = scratch.keep(encoded_words(places.select("word").distinct(), table), "words")
-    found = scratch.keep(places.join(new, "word").groupBy("d", "h").agg(
-        F.collect_set(F.struct("number", F.col("ids").alias("own"))).alias("found")), "found")
+    joined = scratch.keep(places.join(new, "word").select("d", "h", "number", F.col("ids").alias("own")), "joined")
     scratch.drop("places", "words")
+    found = scratch.keep(joined.groupBy("d", "h").agg(F.collect_set(F.struct("number", "own")).alias("found")), "found")
+    scratch.drop("joined")
     part = rows.mapInArrow(partly, "d long, h long, doc_id long, digest binary, n_words long, packed binary")
     return part.join(found, ["d", "h"], "left").select("doc_id", "n_words", "digest", "packed", "found").mapInArrow(
         filled, "doc_id long, ids array<int>, n_words long" + ", decodes boolean" * check)
