@@ -63,7 +63,10 @@ def anchors(text: bytes, length: int, depth: int) -> list[tuple[int, int, int]]:
         at = (window_minima(v, width)[:len(part) - length + 1] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         first = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
         last = np.concatenate([first[1:] - 1, [len(at) - 1]])
-        out.extend(zip((at[first] + start).tolist(), (first + start).tolist(), (last + start).tolist()))
+        runs = list(zip((at[first] + start).tolist(), (first + start).tolist(), (last + start).tolist()))
+        if out and out[-1][0] == runs[0][0]:  # the run goes on over the cut
+            runs[0] = (runs[0][0], out.pop()[1], runs[0][2])
+        out.extend(runs)
     return out
 
 

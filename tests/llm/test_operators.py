@@ -73,6 +73,23 @@ def test_repeated_strings(spark, docs, none, length):
         assert suffix_dedup.removed_bytes(none).collect() == []
 
 
+def test_repeated_strings_over_cuts(spark, monkeypatch):
+    r = random.Random(8)
+    letters = lambda n: "".join(r.choice("abcdefghij") for _ in range(n))
+    texts = [letters(3000) for _ in range(12)]
+    for i in range(12):
+        for _ in range(6):  # a string of 400 to 460 bytes, about its shared middle a shorter one
+            n, at = r.randint(400, 460), r.randint(0, 2500)
+            texts.append(letters(r.randint(1, 300)) + texts[i][at:at + n] + letters(r.randint(1, 300)))
+            texts.append(letters(200) + texts[i][at + 40:at + 390] + letters(200))
+    whole = [suffix_dedup.anchors(t.encode(), 400, 32) for t in texts]
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 97)
+    assert [suffix_dedup.anchors(t.encode(), 400, 32) for t in texts] == whole
+    rows = list(enumerate(texts))
+    found = suffix_dedup.removed_bytes(spark.createDataFrame(rows, "doc_id long, text string"), batches=2).drop("spans").collect()
+    assert sorted(map(tuple, found), key=repr) == removed(rows, 400)
+
+
 def test_suffix_levels_merge_geometrically(spark, docs):
     family = suffix_dedup.SuffixFamily(spark, 60, 32)
     seen = []
