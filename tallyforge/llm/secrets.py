@@ -5,10 +5,10 @@ sees its length, its kinds of characters and the transitions between them, how m
 stands in a path or address, and the words before and after it. It is trained on labelled findings; where a table has none,
 ``rule_labels`` labels the clear ones (known key formats and assignments to credential names against numbers, paths,
 addresses and digests that are named as such) and leaves the others to the forest. At most ``max_labelled`` findings are
-used for the fit, the first ones by a hash; every finding of every text is scored.
+used for the fit, the first ones by a hash; every context of every finding of every text is scored.
 
-Defined cases: null and empty texts have no candidates; a candidate that occurs in several lines of a document is one finding, with
-the context of the smallest line; rows with the same id are one document; a null id is a document of its own; without labelled
+Defined cases: null and empty texts have no candidates; a candidate that occurs several times in a document is scored in each
+context and is one finding, with its most probable one (of equal ones the smallest); rows with the same id are one document; a null id is a document of its own; without labelled
 findings of both kinds, the labels' only kind decides all (none: every candidate is kept); an empty table gives no rows;
 other columns are ignored, or kept by ``redacted``.
 """
@@ -24,7 +24,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import new_name
 
 #: In front of a candidate there is no character of one; a digit follows within the run; then the run itself.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
+START, RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{16})(?=[A-Za-z+/_-]*+[0-9])", r"[A-Za-z0-9+/_-]{16,}+={0,2}"
+CANDIDATE = START + RUN
+#: Groups of up to 60 characters each before and after a match; 60 characters may have 120 code units, the first one is not halved.
+BEFORE = r"(?<=((?![\uDC00-\uDFFF])(?:^[\s\S]{0,59}|[\s\S]{60,120})))"
+AFTER = r"(?=([\s\S]{0,60}))"
+PLACES = f"{START}{BEFORE}({RUN}){AFTER}"
 KNOWN = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})$"
 NAMED = r"(?i)(passw(or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)[\"' ]{0,2}[=:][ \"']{0,3}$"
 DIGEST = r"(?i)(sha-?1|sha-?256|md5|commit|checksum|digest|etag|revision|uuid|isbn)\W{0,3}$"
@@ -36,18 +41,22 @@ FEATURES = ["length", "digits", "uppers", "lowers", "marks", "to_digit", "from_d
 
 
 def findings(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, candidate, before, after (up to 60 characters of its line on both sides), n_lines."""
+    """doc_id, candidate, before, after (up to 60 characters of its line on both sides), n_lines; one row a different context.
+
+    A line counts once for a candidate, with its smallest context, so that ``n_lines`` can be summed.
+    """
     text = F.col(text_column).cast("string")
     lines = (documents.filter(text.rlike(CANDIDATE))
              .select(F.col(id_column).cast("long").alias("doc_id"), F.explode(F.split(text, "\n")).alias("line"))
              .filter(F.col("line").rlike(CANDIDATE)))
-    found = lines.select("doc_id", "line", F.explode(F.array_distinct(F.regexp_extract_all("line", F.lit(CANDIDATE), F.lit(0)))).alias("candidate"))
-    head = F.expr("substring_index(line, candidate, 1)")
-    start = F.length(head) + F.length("candidate")
-    context = F.struct(F.substring(head, -60, 60).alias("before"), F.substring("line", start + 1, F.lit(60)).alias("after"))
-    return (found.select("doc_id", "candidate", context.alias("context"))
-            .groupBy("doc_id", "candidate").agg(F.min("context").alias("context"), F.count("*").alias("n_lines"))
-            .select("doc_id", "candidate", "context.before", "context.after", "n_lines"))
+    part = lambda i: F.regexp_extract_all("line", F.lit(PLACES), F.lit(i))
+    zipped = F.arrays_zip(part(2).alias("candidate"), part(1).alias("before"), part(3).alias("after"))
+    places = lines.select("doc_id", F.array_sort(F.array_distinct(zipped)).alias("places"))
+    first = F.transform("places", lambda x, i: F.struct(
+        x["candidate"].alias("candidate"), x["before"].alias("before"), x["after"].alias("after"),
+        ((i == 0) | (F.get("places", i - 1)["candidate"] != x["candidate"])).cast("long").alias("lines")))
+    return (places.select("doc_id", F.inline(first)).groupBy("doc_id", "candidate", "before", "after")
+            .agg(F.sum("lines").alias("n_lines")))
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -77,7 +86,7 @@ def rule_labels(found: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame, max_labelled: int = 20000, trees: int = 20, depth: int = 6, seed: int = 11) -> PipelineModel | float:
     """The forest, or the only label there is (1 if there is none). ``labelled`` has the features and ``label``."""
-    rows = (labelled.filter("label IS NOT NULL").withColumn("order", F.xxhash64("candidate", "doc_id"))
+    rows = (labelled.filter("label IS NOT NULL").withColumn("order", F.xxhash64("candidate", "doc_id", "before", "after"))
             .select("label", "order", *FEATURES).orderBy("order", *FEATURES).limit(max_labelled).cache())
     try:
         kinds = [r["label"] for r in rows.select("label").distinct().collect()]  # two at most
@@ -102,13 +111,19 @@ def scored(found: DataFrame, model: PipelineModel | float, keep_at: float = 0.5)
 
 def scan(documents: DataFrame, labels: Column | None = None, id_column: str = "doc_id", text_column: str = "text",
          max_labelled: int = 20000) -> DataFrame:
-    """doc_id, candidate, before, after, n_lines, probability, is_secret; one row a finding.
+    """doc_id, candidate, before, after, n_lines, probability, is_secret; one row a candidate of a document.
+
+    Every context is scored; the most probable one decides, and is the one that is shown.
 
     ``labels`` is a column over the findings (1, 0 or null); without it the clear findings are labelled by rule.
     """
     found = with_features(findings(documents, id_column, text_column))
     labelled = rule_labels(found) if labels is None else found.withColumn("label", labels.cast("int"))
-    return scored(found, train(labelled, max_labelled))
+    rows = scored(found, train(labelled, max_labelled))
+    best = F.min(F.struct((-F.col("probability")).alias("p"), "before", "after", (~F.col("is_secret")).alias("no")))
+    return (rows.groupBy("doc_id", "candidate").agg(best.alias("best"), F.sum("n_lines").alias("n_lines"))
+            .select("doc_id", "candidate", "best.before", "best.after", "n_lines", (-F.col("best.p")).alias("probability"),
+                    (~F.col("best.no")).alias("is_secret")))
 
 
 def redacted(documents: DataFrame, secrets: DataFrame, id_column: str = "doc_id", text_column: str = "text",

@@ -281,6 +281,21 @@ def test_secrets(spark, none):
     assert secrets.scan(none).collect() == []
 
 
+def test_secrets_in_every_context(spark):
+    a, b = "Zk9Qw2Lp7Vx4Tn8Rb5Yc", "9f8e7d6c5b4a39281706"
+    texts = [(1, f"{a}\ntoken = \"{a}\""), (2, f"commit {b} and token = {b}"), (3, f"commit {b}"), (4, "😀" * 70 + f" x{a}x {a}"), (5, f"{a} {a}")]
+    texts += [(i, f"token = {i}{a}") for i in range(100, 140)] + [(i, f"commit {i}{b}") for i in range(200, 240)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {(r.doc_id, r.candidate): r for r in secrets.scan(frame).collect()}
+    assert got[1, a].is_secret and got[2, b].is_secret and not got[3, b].is_secret
+    assert [got[i, a].n_lines for i in (1, 4, 5)] == [2, 1, 1]
+    assert got[4, a].before == "😀" * 36 + f" x{a}x " and got[2, b].before.endswith("token = ")
+    found = [(r.before, r.after, r.n_lines) for r in secrets.findings(frame.filter("doc_id = 5")).orderBy("before").collect()]
+    assert found == [("", f" {a}", 1), (f"{a} ", "", 0)]
+    clean = {r.doc_id: r.text for r in secrets.redacted(frame, secrets.scan(frame)).collect()}
+    assert clean[1] == "<secret>\ntoken = \"<secret>\"" and b not in clean[2]
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     columns, before = docs.columns, docs.count()
