@@ -1,6 +1,7 @@
 """Secret scan: candidates by shape, false positives removed by a random forest. DataFrame operations and Spark ML only.
 
-A candidate is a run of at least 16 letters, digits and + / _ - with a digit in it, found in any line of the whole text. The forest
+Candidates, found in any line of the whole text, are runs of at least 16 letters, digits and + / _ - with a digit in them, such runs
+joined by dots, and whatever value follows a credential name and = or :, quoted or up to white space, of any length. The forest
 sees its length, its kinds of characters and the transitions between them, how much of it dictionary words cover, whether it
 stands in a path or address, and the words before and after it. It is trained on labelled findings; where a table has none,
 ``rule_labels`` labels the clear ones (known key formats and assignments to credential names against numbers, paths,
@@ -23,21 +24,34 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import new_name
 
-#: In front of a candidate there is no character of one; a digit follows within the run; then the run itself.
-START, RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{16})(?=[A-Za-z+/_-]*+[0-9])", r"[A-Za-z0-9+/_-]{16,}+={0,2}"
-CANDIDATE = START + RUN
+#: In front of a run there is no character of one; a digit follows within the run; then the run itself.
+CHARACTER = "[A-Za-z0-9+/_-]"
+START, RUN = rf"(?<!{CHARACTER})(?={CHARACTER}{{16}})(?=[A-Za-z+/_-]*+[0-9])", rf"{CHARACTER}{{16,}}+={{0,2}}"
+#: Runs that dots join, as one.
+DOTTED_START = rf"(?<!{CHARACTER})(?<!{CHARACTER}\.)(?=(?:\.?{CHARACTER}){{16}})(?=(?:\.?[A-Za-z+/_-])*+\.?[0-9])(?={CHARACTER}++\.{CHARACTER})"
+DOTTED = rf"{CHARACTER}++(?:\.{CHARACTER}++)++={{0,2}}"
+NAME = r"(?:passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)[\"' ]{0,2}[=:]"
+#: The value behind a credential name: to the closing quote (not behind a backslash), or else to white space.
+VALUE_START = rf"(?i:{NAME}) {{0,3}}[\"']?"
+VALUE = (r"(?:(?<=\")(?!\")[^\n]+?(?=(?<!\\)\")|(?<=')(?!')[^\n]+?(?=(?<!\\)')|[^\s\"']\S*+)")
 #: Groups of up to 60 characters each before and after a match; 60 characters may have 120 code units, the first one is not halved.
 BEFORE = r"(?<=((?![\uDC00-\uDFFF])(?:^[\s\S]{0,59}|[\s\S]{60,120})))"
 AFTER = r"(?=([\s\S]{0,60}))"
-PLACES = f"{START}{BEFORE}({RUN}){AFTER}"
-KNOWN = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})$"
+#: Groups 1 to 3: before, candidate, after. Values are looked at only, as a name may stand in one.
+PLACES = (f"{START}{BEFORE}({RUN}){AFTER}", f"{DOTTED_START}{BEFORE}({DOTTED}){AFTER}", f"{VALUE_START}{BEFORE}(?=({VALUE}){AFTER})")
+CANDIDATE = f"{START}|{DOTTED_START}|{VALUE_START}(?={VALUE})"
+KNOWN = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)$"
 NAMED = r"(?i)(passw(or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)[\"' ]{0,2}[=:][ \"']{0,3}$"
 DIGEST = r"(?i)(sha-?1|sha-?256|md5|commit|checksum|digest|etag|revision|uuid|isbn)\W{0,3}$"
+#: Values that are clearly no secrets: names of types and nothing, references, calls.
+PLAIN = r"(?i)^((true|false|null|none|nil|undefined|string|str|int|bool|boolean|object|any)[,;)\]}]*|[$<{%*].*|[\w.]+[(\[].*)$"
 ADDRESS = r"(?i)(https?://\S*|www\.\S*|[\w.-]+/)$"
 DICTIONARY = ("test example sample demo file path index user name data value image color page content version format number string "
-              "http https html json true false null default public private client server about with from this that and the for are").split()
+              "http https html json true false null default public private client server about with from this that and the for are "
+              "dans avec pour les des une est sur par nous vous mais der die das und ist nicht mit von auf ein eine auch sich "
+              "los las del una con por para como pero que esta ser").split()
 FEATURES = ["length", "digits", "uppers", "lowers", "marks", "to_digit", "from_digit", "case_changes", "kinds", "covered",
-            "in_path", "named", "digest", "assigned", "words_before", "after_word"]
+            "in_path", "named", "digest", "assigned", "quoted", "plain", "other", "words_before", "after_word"]
 
 
 def findings(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -49,9 +63,9 @@ def findings(documents: DataFrame, id_column: str = "doc_id", text_column: str =
     lines = (documents.filter(text.rlike(CANDIDATE))
              .select(F.col(id_column).cast("long").alias("doc_id"), F.explode(F.split(text, "\n")).alias("line"))
              .filter(F.col("line").rlike(CANDIDATE)))
-    part = lambda i: F.regexp_extract_all("line", F.lit(PLACES), F.lit(i))
-    zipped = F.arrays_zip(part(2).alias("candidate"), part(1).alias("before"), part(3).alias("after"))
-    places = lines.select("doc_id", F.array_sort(F.array_distinct(zipped)).alias("places"))
+    part = lambda pattern, i: F.regexp_extract_all("line", F.lit(pattern), F.lit(i))
+    zipped = [F.arrays_zip(part(p, 2).alias("candidate"), part(p, 1).alias("before"), part(p, 3).alias("after")) for p in PLACES]
+    places = lines.select("doc_id", F.array_sort(F.array_distinct(F.concat(*zipped))).alias("places"))
     first = F.transform("places", lambda x, i: F.struct(
         x["candidate"].alias("candidate"), x["before"].alias("before"), x["after"].alias("after"),
         ((i == 0) | (F.get("places", i - 1)["candidate"] != x["candidate"])).cast("long").alias("lines")))
@@ -71,6 +85,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "covered": 1 - F.length(F.regexp_replace(F.lower(c), "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))), "")) / n,
         "in_path": F.col("before").rlike(ADDRESS) | c.rlike("/.*/"), "named": F.col("before").rlike(NAMED),
         "digest": F.col("before").rlike(DIGEST), "assigned": F.col("before").rlike(r"[=:]\W{0,3}$"),
+        "quoted": F.col("before").rlike("[\"']$"), "plain": c.rlike(PLAIN), "other": count(r"[^A-Za-z0-9+/_=-]"),
         "words_before": F.regexp_count("before", F.lit(r"[^\W\d_]+")), "after_word": F.col("after").rlike(r"^\W{0,2}[^\W\d_]+"),
     }
     return found.withColumns({name: value.cast("double") for name, value in kind.items()})
@@ -79,9 +94,12 @@ def with_features(found: DataFrame) -> DataFrame:
 def rule_labels(found: DataFrame) -> DataFrame:
     """``label`` of the findings that are clear: 1 a secret, 0 none, null unknown."""
     c, before = F.col("candidate"), F.col("before")
-    none = (c.rlike("^[0-9=-]+$") | (before.rlike(ADDRESS) & ~c.rlike(KNOWN)) | before.rlike(DIGEST)
-            | c.rlike("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$") | c.rlike("^[A-Za-z]+[_-]?[0-9]{1,4}$"))
-    return found.withColumn("label", F.when(none, 0).when(c.rlike(KNOWN) | before.rlike(NAMED), 1).cast("int"))
+    named = before.rlike(NAMED)
+    quoted = before.rlike("[\"']$")
+    strong = c.rlike(CANDIDATE) | quoted | (c.rlike(r"(?=\D*\d)(?=.*[^\W\d_])^\S{6,}$"))
+    none = ((~named & c.rlike("^[0-9=-]+$")) | (named & c.rlike(PLAIN)) | (before.rlike(ADDRESS) & ~c.rlike(KNOWN)) | before.rlike(DIGEST)
+            | c.rlike("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$") | (~named & c.rlike("^[A-Za-z]+[_-]?[0-9]{1,4}$")))
+    return found.withColumn("label", F.when(none, 0).when(c.rlike(KNOWN) | (named & strong), 1).cast("int"))
 
 
 def train(labelled: DataFrame, max_labelled: int = 20000, trees: int = 20, depth: int = 6, seed: int = 11) -> PipelineModel | float:
@@ -132,7 +150,11 @@ def redacted(documents: DataFrame, secrets: DataFrame, id_column: str = "doc_id"
     key, listed = new_name("key"), new_name("listed")
     per_doc = (secrets.filter("is_secret").groupBy(F.col("doc_id").alias(key))
                .agg(F.sort_array(F.collect_set(F.struct(F.length("candidate").alias("n"), "candidate")), asc=False).alias(listed)))
-    replaced = F.aggregate(F.coalesce(F.col(f"{listed}.candidate"), F.array().cast("array<string>")),
-                           F.col(f"`{text_column}`").cast("string"), lambda text, s: F.replace(text, s, F.lit(mark)))
+    # all at once, so that no mark is searched again; a short value must stand alone
+    literal = lambda c: F.concat(F.lit(r"\Q"), F.replace(c, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    alone = lambda c: F.concat(F.lit(r"(?<![\p{L}\p{N}])"), literal(c), F.lit(r"(?![\p{L}\p{N}])"))
+    pattern = F.array_join(F.transform(listed, lambda x: F.when(x["n"] < 16, alone(x["candidate"])).otherwise(literal(x["candidate"]))), "|")
+    text, put = F.col(f"`{text_column}`").cast("string"), mark.replace("\\", "\\\\").replace("$", "\\$")
+    replaced = F.when(F.col(listed).isNull(), text).otherwise(F.regexp_replace(text, pattern, F.lit(put)))
     joined = documents.join(per_doc, documents[f"`{id_column}`"].cast("long").eqNullSafe(F.col(key)), "left")
     return joined.withColumn(text_column, replaced).select(*[F.col(f"`{c}`") for c in documents.columns])

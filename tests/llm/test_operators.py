@@ -296,6 +296,24 @@ def test_secrets_in_every_context(spark):
     assert clean[1] == "<secret>\ntoken = \"<secret>\"" and b not in clean[2]
 
 
+def test_secrets_of_any_form(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.abcDEF"
+    wanted = {1: "hunter2", 2: "correct-horse-battery-staple", 3: "qwertyuiopasdfghjklzxcvbnm", 4: "Zk9$wQ!t7#pLx2@vB4", 5: jwt, 6: "a \\E$1 b"}
+    texts = [(1, 'password = "hunter2" # hunter2, not hunter20'), (2, f'password = "{wanted[2]}"'), (3, f'secret = "{wanted[3]}"'),
+             (4, f'api_key: "{wanted[4]}"'), (5, f"sent {jwt}. Then"), (6, f"pwd='{wanted[6]}' secret"), (7, "password = getpass()"), (8, 'token = ""')]
+    texts += [(i, f'see order {i}1234567890123456 or token: null, token = $TOKEN') for i in range(100, 130)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    found = secrets.scan(frame)
+    got = {(r.doc_id, r.candidate): r.is_secret for r in found.collect()}
+    assert all(got[x] for x in wanted.items()) and not got[7, "getpass()"] and not any(i == 8 for i, _ in got)
+    assert not got[100, "null,"] and not got[100, "$TOKEN"]
+    clean = {r.doc_id: r.text for r in secrets.redacted(frame, found).collect()}
+    assert clean[1] == 'password = "<secret>" # <secret>, not hunter20' and clean[5] == "sent <secret>. Then" and clean[6] == "pwd='<secret>' secret"
+    assert [clean[i] for i in (7, 8, 100)] == [t for i, t in texts if i in (7, 8, 100)]
+    long_ = "x1" * 100000 + ".y" * 100000 + ' pwd="' + "\\\"z" * 50000
+    assert secrets.findings(frame.limit(1).withColumn("text", F.lit(long_))).count() == 3
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     columns, before = docs.columns, docs.count()
