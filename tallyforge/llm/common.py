@@ -27,6 +27,15 @@ def new_name(stem: str) -> str:
     return f"{stem}_{uuid.uuid4().hex[:12]}"
 
 
+def shares(totals: dict, most: int) -> dict:
+    """How many rows of each kind are taken, ``most`` in all: the same of each, what rare kinds lack goes to the others; one at least."""
+    taken, left = {}, most
+    for i, kind in enumerate(sorted(totals, key=lambda k: (totals[k], k))):
+        taken[kind] = min(totals[kind], max(1, left // (len(totals) - i)))
+        left -= taken[kind]
+    return taken
+
+
 class Scratch:
     """Tables written once under ``spark.checkpoint.dir``, read back from there, dropped when they are no longer needed."""
 

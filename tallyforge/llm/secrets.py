@@ -6,7 +6,7 @@ sees its length, its kinds of characters and the transitions between them, how m
 stands in a path or address, and the words before and after it. It is trained on labelled findings; where a table has none,
 ``rule_labels`` labels the clear ones (known key formats and assignments to credential names against numbers, paths,
 addresses and digests that are named as such) and leaves the others to the forest. At most ``max_labelled`` findings are
-used for the fit, the first ones by a hash; every context of every finding of every text is scored.
+used for the fit, half of each label as far as there are, the first ones by a hash; every context of every finding of every text is scored.
 
 Defined cases: null and empty texts have no candidates; a candidate that occurs several times in a document is scored in each
 context and is one finding, with its most probable one (of equal ones the smallest); rows with the same id are one document; a null id is a document of its own; without labelled
@@ -16,13 +16,15 @@ other columns are ignored, or kept by ``redacted``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import new_name
+from .common import Scratch, new_name, shares
 
 #: In front of a run there is no character of one; a digit follows within the run; then the run itself.
 CHARACTER = "[A-Za-z0-9+/_-]"
@@ -103,18 +105,25 @@ def rule_labels(found: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame, max_labelled: int = 20000, trees: int = 20, depth: int = 6, seed: int = 11) -> PipelineModel | float:
-    """The forest, or the only label there is (1 if there is none). ``labelled`` has the features and ``label``."""
-    rows = (labelled.filter("label IS NOT NULL").withColumn("order", F.xxhash64("candidate", "doc_id", "before", "after"))
-            .select("label", "order", *FEATURES).orderBy("order", *FEATURES).limit(max_labelled).cache())
+    """The forest, or the only label there is (1 if there is none). ``labelled`` has the features and ``label``.
+
+    Labels share the sample evenly, as far as they have rows; weights make up for it.
+    """
+    rows = labelled.filter("label IS NOT NULL").withColumn("order", F.xxhash64("candidate", "doc_id", "before", "after"))
+    totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two at most
+    if len(totals) < 2:
+        return float(*totals) if totals else 1.0
+    taken = shares(totals, max_labelled)
+    weight = {y: totals[y] / sum(totals.values()) * sum(taken.values()) / taken[y] for y in totals}
+    sample = reduce(DataFrame.union, [
+        rows.filter(F.col("label") == y).select("label", F.lit(weight[y]).alias("weight"), "order", *FEATURES)
+        .orderBy("order", *FEATURES).limit(taken[y]) for y in sorted(totals)]).cache()
     try:
-        kinds = [r["label"] for r in rows.select("label").distinct().collect()]  # two at most
-        if len(kinds) < 2:
-            return float(kinds[0]) if kinds else 1.0
         shape = VectorAssembler(inputCols=FEATURES, outputCol="features")
-        forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label")
-        return PipelineModel([shape, forest.fit(shape.transform(rows))])
+        forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label", weightCol="weight")
+        return PipelineModel([shape, forest.fit(shape.transform(sample))])
     finally:
-        rows.unpersist()
+        sample.unpersist()
 
 
 def scored(found: DataFrame, model: PipelineModel | float, keep_at: float = 0.5) -> DataFrame:
@@ -135,7 +144,8 @@ def scan(documents: DataFrame, labels: Column | None = None, id_column: str = "d
 
     ``labels`` is a column over the findings (1, 0 or null); without it the clear findings are labelled by rule.
     """
-    found = with_features(findings(documents, id_column, text_column))
+    # written, as labels are counted, sampled and scored apart
+    found = with_features(Scratch(documents.sparkSession, "secret-scan").keep(findings(documents, id_column, text_column), "contexts"))
     labelled = rule_labels(found) if labels is None else found.withColumn("label", labels.cast("int"))
     rows = scored(found, train(labelled, max_labelled))
     best = F.min(F.struct((-F.col("probability")).alias("p"), "before", "after", (~F.col("is_secret")).alias("no")))

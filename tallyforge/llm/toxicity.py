@@ -2,7 +2,8 @@
 
 P(grade <= k | x) = sigmoid(threshold_k - w.x): one weight vector for all thresholds, which are kept in order. Features are the
 words, and beginnings of words, that tell most about the label (G statistic), each with 1 + log(count). The fit uses at
-most ``max_labelled`` labelled documents, chosen by a hash of their id; scoring reads every text whole.
+most ``max_labelled`` labelled documents, the same of each label as far as there are, chosen by a hash of their id, and the
+thresholds are moved to the labels' shares in the table; scoring reads every text whole.
 
 Where labels say only toxic or not, grades are made of them: 0 for clean documents; toxic ones get 1, or 2 if they hold at
 least as many marked words (words of which nine in ten labelled documents are toxic) as the median toxic document with any.
@@ -17,13 +18,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import new_name, text_of
+from .common import new_name, shares, text_of
 
 WORD = r"\w+"
 
@@ -84,13 +86,21 @@ def fit_ordinal(rows: list[tuple[int, list[int], list[float]]], features: int, g
 
 
 def labelled_documents(documents: DataFrame, labels: DataFrame, id_column: str, text_column: str, label_column: str,
-                       max_labelled: int) -> DataFrame:
-    """doc_id, text, label of at most ``max_labelled`` labelled documents, the first ones by a hash of the id."""
-    chosen = (labels.filter(F.col(label_column).isNotNull() & F.col(id_column).isNotNull())
-              .groupBy(F.col(id_column).cast("long").alias("doc_id")).agg(F.max(F.col(label_column).cast("int")).alias("label"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
+                       max_labelled: int) -> tuple[DataFrame, dict[int, int], dict[int, int]]:
+    """doc_id, text, label of at most ``max_labelled`` labelled documents, of each label the first ones by a hash of the id.
+
+    Also how many documents have each label, and how many of them are taken.
+    """
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), text_of(text_column).alias("text"))
-    return rows.join(F.broadcast(chosen), "doc_id")  # max_labelled rows of two numbers
+    known = (labels.filter(F.col(label_column).isNotNull() & F.col(id_column).isNotNull())
+             .groupBy(F.col(id_column).cast("long").alias("doc_id")).agg(F.max(F.col(label_column).cast("int")).alias("label"))
+             .join(rows.select("doc_id"), "doc_id", "left_semi"))
+    totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}  # a row a grade
+    taken = shares(totals, max_labelled)
+    chosen = [known.filter(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(taken[y]) for y in sorted(totals)]
+    if not chosen:
+        chosen = [known.limit(0)]
+    return rows.join(F.broadcast(reduce(DataFrame.union, chosen)), "doc_id"), totals, taken  # max_labelled rows of two numbers
 
 
 def fit(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic",
@@ -99,7 +109,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text
 
     Features are words with a G statistic of twice ``least_gain`` or more, so chance finds no place among them.
     """
-    rows = labelled_documents(documents, labels, id_column, text_column, label_column, max_labelled)
+    rows, known, taken = labelled_documents(documents, labels, id_column, text_column, label_column, max_labelled)
 
     def distinct_words(batches):
         for batch in batches:
@@ -144,7 +154,14 @@ def fit(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text
         sample = [(2 if y and m >= middle else y, m, i, v) for y, m, i, v in sample]
     grades = max(y for y, *_ in sample) + 1
     weights, thresholds = fit_ordinal([(y, i, v) for y, _, i, v in sample], len(vocabulary), grades)
-    return OrdinalModel({w: float(weights[i]) for w, i in vocabulary.items()}, [float(t) for t in thresholds])
+    def shift(k: int) -> float:
+        """What the sample's shares of the labels above and up to k add to the log odds of a grade above k."""
+        sides = [[y for y in known if y > k], [y for y in known if y <= k]]
+        above, below = (math.log(sum(taken[y] for y in ys) / sum(known[y] for y in ys)) if all(sides) else 0.0 for ys in sides)
+        return above - below
+
+    moved = [float(t) + shift(min(k, max(known) - 1)) for k, t in enumerate(thresholds)]
+    return OrdinalModel({w: float(weights[i]) for w, i in vocabulary.items()}, np.maximum.accumulate(moved).tolist())
 
 
 def score(documents: DataFrame, model: OrdinalModel, text_column: str = "text", reject_at: float = 0.5) -> DataFrame:

@@ -14,7 +14,7 @@ pytest.importorskip("tallyforge.llm")
 from pyspark.sql import functions as F  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from tallyforge.llm import chat, fingerprints, mixing, near_dup, pieces, secrets, suffix_dedup, topk, toxicity, warc  # noqa: E402
+from tallyforge.llm import chat, common, fingerprints, mixing, near_dup, pieces, secrets, suffix_dedup, topk, toxicity, warc  # noqa: E402
 from tallyforge.llm.queries import LLM_QUERIES  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
@@ -314,6 +314,19 @@ def test_secrets_of_any_form(spark):
     assert secrets.findings(frame.limit(1).withColumn("text", F.lit(long_))).count() == 3
 
 
+def test_rare_labels_are_in_every_sample(spark):
+    assert common.shares({0: 1000, 1: 3}, 20) == {0: 17, 1: 3} and common.shares({0: 9, 1: 9}, 10) == {0: 5, 1: 5} and common.shares({}, 5) == {}
+    texts = spark.range(1, 4001).selectExpr("id AS doc_id", "CASE WHEN id % 200 = 0 THEN 'vile nasty words ' || id ELSE 'fine kind words ' || id END AS text")
+    labels = texts.selectExpr("doc_id", "CASE WHEN doc_id % 200 = 0 THEN 1 ELSE 0 END AS toxic")
+    labels = labels.union(spark.range(5000, 9000).selectExpr("id", "1"))  # labels without a document
+    model = toxicity.fit(texts, labels, max_labelled=40)
+    assert [r.doc_id for r in toxicity.score(texts, model).filter("rejected").orderBy("doc_id").collect()] == list(range(200, 4001, 200))
+    key = "AKIA" + "ABCD1234EFGH56"
+    keys = texts.selectExpr("doc_id", f"CASE WHEN doc_id % 200 = 0 THEN '{key}' || (10 + doc_id div 200) ELSE '123456789012' || (10000 + doc_id) END AS text")
+    found = secrets.scan(keys, max_labelled=16).filter("is_secret").orderBy("doc_id").collect()
+    assert [r.doc_id for r in found] == list(range(200, 4001, 200))
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     columns, before = docs.columns, docs.count()
