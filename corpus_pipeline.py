@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.llm import mixing, near_dup, pieces, q_filters, queries, secrets, toxicity  # noqa: F401
-from tallyforge.llm.common import Scratch, table
+from tallyforge.llm.common import Scratch, new_name, table
 
 #: Share of the tokens that the mixing stage takes, each document at most once.
 MIX_SHARE, MIX_EPOCHS = 0.8, 1
@@ -18,10 +18,21 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates (shingles of five words, similarity 0.8), the one with the smallest id."""
-    found = near_dup.near_duplicates(docs, width=5, percent=80)
-    gone = Scratch(spark, "near-dup-stage").keep(found.filter(~F.col("kept")).select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each component of near-duplicates (shingles of five words, similarity 0.8), the one with the smallest id.
+
+    Each row counts for itself, whatever its id: of rows with equal or null ids one stays, too. Of rows without words, which are like
+    no others, one of each id and text stays.
+    """
+    scratch, key, word = Scratch(spark, "near-dup-stage"), new_name("key"), F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = scratch.keep(docs.withColumn(key, F.monotonically_increasing_id()), "rows")  # written, so that keys stay as they are
+    found = near_dup.near_duplicates(rows.filter(word), id_column=key, width=5, percent=80).select(F.col("doc_id").alias(key), "component_id")
+    ids = rows.select(key, "doc_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", key))[key].alias(key)
+    stays = found.join(ids, key).groupBy("component_id").agg(first).select(key)
+    without = rows.filter(~word).groupBy("doc_id", "text").agg(F.min(key).alias(key)).select(key)
+    gone = scratch.keep(ids.select(key).join(stays.union(without), key, "left_anti"), "gone")
+    return rows.join(gone, key, "left_anti").select(*columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

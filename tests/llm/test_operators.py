@@ -314,6 +314,16 @@ def test_secrets_of_any_form(spark):
     assert secrets.findings(frame.limit(1).withColumn("text", F.lit(long_))).count() == 3
 
 
+def test_near_duplicate_stage_counts_rows(spark):
+    same, other = "one two three four five six seven", "a b c d e f g h"
+    rows = [(5, same), (5, same), (3, same), (None, same), (None, other), (None, other), (7, "alone in here"), (7, f"{other} x y z q"), (8, None), (8, None),
+            (9, ""), (None, " "), (None, " ")]
+    frame = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, key string").repartition(3)
+    got = corpus_pipeline.near_duplicate_stage(spark, frame, FOLDER).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(
+        [(3, same), (None, other), (7, "alone in here"), (7, f"{other} x y z q"), (8, None), (9, ""), (None, " ")], key=repr)
+
+
 def test_rare_labels_are_in_every_sample(spark):
     assert common.shares({0: 1000, 1: 3}, 20) == {0: 17, 1: 3} and common.shares({0: 9, 1: 9}, 10) == {0: 5, 1: 5} and common.shares({}, 5) == {}
     texts = spark.range(1, 4001).selectExpr("id AS doc_id", "CASE WHEN id % 200 = 0 THEN 'vile nasty words ' || id ELSE 'fine kind words ' || id END AS text")
