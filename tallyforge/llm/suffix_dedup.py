@@ -9,7 +9,8 @@ begin alike, and becomes the array of level 0; two arrays of one level are merge
 leave at most log2(n) + 1 arrays and each suffix is rewritten log2(n) times. Scans and merges are joins of tables with equal
 buckets, in order, without a shuffle.
 
-Anchors whose suffixes begin like another's are verified on bytes: first the string of all windows of an anchor, then blocks of 64,
+The arrays carry no documents or places: the family only filters candidates. Over all documents at once, anchors whose suffixes
+begin like another's are verified on bytes: first the string of all windows of an anchor, then blocks of 64,
 8 and 1 windows around what is still open. A block is settled when its whole string occurs elsewhere, dropped when not even the
 part that all its windows share does, and else cut into smaller blocks. Of equal strings, one goes on for all. Strings are
 compared by hashes of 128 bits.
