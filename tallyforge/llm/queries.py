@@ -2,9 +2,9 @@
 
 from pyspark import cloudpickle
 
-from . import chat, common, near_dup, pieces, q_archives, q_duplicates, q_filters, suffix_dedup, topk, toxicity, warc  # noqa: F401
+from . import byte_bpe, chat, common, near_dup, periodic, pieces, q_archives, q_duplicates, q_filters, q_tokens, suffix_dedup, topk, toxicity, warc  # noqa: F401,E501
 from .registry import LLM_QUERIES  # noqa: F401
 
 # Modules with Python tasks travel with them, so workers need no installed package.
-for _module in (chat, common, near_dup, pieces, suffix_dedup, topk, toxicity, warc):
+for _module in (byte_bpe, chat, common, near_dup, periodic, pieces, suffix_dedup, topk, toxicity, warc):
     cloudpickle.register_pickle_by_value(_module)
