@@ -5,9 +5,10 @@ piece of characters; the pair that made it is found by merging its bytes with th
 library's BPE model is built once on the driver and sent to the tasks as a text of the size of the vocabulary.
 
 Texts are cut before each single blank between two characters that are no white space: a match of the pattern always begins there
-and none reaches across, whatever the characters are. The library then works on the distinct cuts of some megabytes of text, with
-the pattern and the merges, and gives ids and places; numpy puts them together. A token's place is the span of characters in the
-text that hold its bytes: tokens that share a character's bytes share its place. Decoding looks the ids up, turns characters back
+and none reaches across, whatever the characters are. The library then works on the distinct cuts of a megabyte or two of text, with
+the pattern and the merges, and numpy puts their ids together; a worker remembers a bounded number of cuts from slice to slice. A
+token's place is the span of characters in the text that hold its bytes, from the sizes of the tokens before it and the map of bytes
+to characters: tokens that share a character's bytes share its place. Decoding looks the ids up, turns characters back
 into bytes by the same table and joins the bytes of the whole text first, so characters split between tokens come out whole.
 
 Defined cases: null texts are empty, empty ones have no tokens; null ids stay null; equal rows are encoded each; texts of any length
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import base64
 import os
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -31,7 +31,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .common import new_name, per_worker, text_of
 
 #: Bytes of text that are encoded at a time.
-SLICE = 8 << 20
+SLICE = 2 << 20
+#: Cuts, and bytes of one, that a worker remembers; more and longer ones are encoded anew.
+REMEMBERED, LONGEST = 300_000, 64
+#: Cuts that go to the library in one text.
+TOGETHER = 500
 #: White space by any version of Unicode; no text is cut beside it.
 WHITE = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F,
          0x2060, 0x3000, 0xFEFF]
@@ -106,6 +110,30 @@ class Coder:
         self.bytes = np.frombuffer(b"".join(words), np.uint8)
         self.white = np.zeros(0x110000, bool)
         self.white[WHITE] = True
+        self.known: dict[bytes, bytes] = {}
+
+    def ids_of(self, words: list[bytes], plain: np.ndarray) -> list[bytes]:
+        """The ids of each word as bytes of 32-bit numbers, from the library or from what it gave before.
+
+        Words that are ``plain`` (between two cuts) may stand one after the other in one text, as the pattern cuts between them.
+        """
+        out = list(map(self.known.get, words))
+        new = [i for i, x in enumerate(out) if x is None]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+        joined = [i for i in new if plain[i]]
+        groups = [joined[i:i + TOGETHER] for i in range(0, len(joined), TOGETHER)] + [[i] for i in new if not plain[i]]
+        found = self.tokenizer.encode_batch_fast([b"".join([words[i] for i in g]).decode() for g in groups], add_special_tokens=False)
+        for group, e in zip(groups, found):
+            ids = np.array(e.ids, np.int32)
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(words[i]) for i in group])) + 1
+            raw, start = ids.tobytes(), 0
+            for i, stop in zip(group, (4 * ends).tolist()):
+                out[i], start = raw[start:stop], stop
+        for i in new[:REMEMBERED]:
+            if len(words[i]) <= LONGEST:
+                self.known[words[i]] = out[i]
+        return out
 
 
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -132,15 +160,21 @@ def encoded_texts(texts: list[str], coder: Coder) -> Tokens:
         return Tokens(*[np.zeros(0, np.int32)] * 3, np.zeros(len(texts) + 1, np.int64))
     black, cut = ~coder.white[chars], np.zeros(len(chars), bool)
     cut[1:-1] = (chars[1:-1] == 0x20) & black[:-2] & black[2:]
-    cut[text_chars[:-1][np.diff(text_chars) > 0]] = True
+    heads = text_chars[:-1][np.diff(text_chars) > 0]
+    inner = cut.copy()
+    inner[heads] = False
+    cut[heads] = True
+    inner = inner[cut]
     begins = (np.frombuffer(joined, np.uint8) & 0xC0) != 0x80
     at = np.flatnonzero(begins)[cut]  # first byte of each cut
     cuts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(joined))), pa.py_buffer(joined)])
     coded = cuts.dictionary_encode()
     kind = coded.indices.to_numpy(zero_copy_only=False)
-    lists = [e.ids for e in coder.tokenizer.encode_batch_fast(coded.dictionary.cast(pa.large_string()).to_pylist(), add_special_tokens=False)]
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    distinct = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
+    plain = np.zeros(len(coded.dictionary), bool)
+    plain[kind[inner & np.append(inner[1:], False)]] = True
+    lists = coder.ids_of(coded.dictionary.to_pylist(), plain)
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+    distinct = np.frombuffer(b"".join(lists), np.int32)
     ids = distinct[spread((np.cumsum(sizes) - sizes)[kind], sizes[kind])]
     bounds = np.concatenate([[0], np.cumsum(sizes[kind])])[np.searchsorted(at, text_bytes)]
     stops = np.cumsum(coder.sizes[ids])  # tokens cover the bytes without gaps, so their sizes give their bytes and these the characters
@@ -191,8 +225,9 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids")
     """The table's columns and ``decoded`` (bytes) and ``decoded_text``, from the ids alone."""
     model = encoded.sparkSession.sparkContext.broadcast(vocabulary.model)
     key = vocabulary.path
-    schema = _schema(encoded, decoded=T.BinaryType(), decoded_text=T.StringType())
-    kept = [f.name for f in schema.fields[:-2]]
+    rows = encoded.drop("decoded", "decoded_text")
+    schema = _schema(rows, decoded=T.BinaryType())
+    kept = [f.name for f in schema.fields[:-1]]
 
     def run(batches):
         coder = per_worker("byte-bpe", key, lambda: Coder(model.value))
@@ -205,13 +240,11 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids")
                 n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
                 raw = coder.bytes[spread(coder.starts[ids], coder.sizes[ids])]
                 bounds = np.concatenate([[0], np.cumsum(coder.sizes[ids])])[np.concatenate([[0], np.cumsum(n)])]
-                whole = raw.tobytes()
-                texts = [whole[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:last], pa.array(texts, pa.binary()), pa.array([t.decode(errors="replace") for t in texts], pa.string())],
-                    names=[*kept, "decoded", "decoded_text"])
+                texts = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([*part.columns[:last], texts], names=[*kept, "decoded"])
 
-    return encoded.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{ids_column}`").alias(new_name("ids"))).mapInArrow(run, schema)
+    found = rows.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{ids_column}`").alias(new_name("ids"))).mapInArrow(run, schema)
+    return found.withColumn("decoded_text", F.make_valid_utf8(F.col("decoded").cast("string")))
 
 
 def round_trip_digests(documents: DataFrame, vocabulary: Vocabulary, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
