@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .common import new_name, per_worker, text_of
 
 #: Bytes of text that are encoded at a time.
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Cuts, and bytes of one, that a worker remembers; more and longer ones are encoded anew.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 200_000, 64
 #: Cuts that go to the library in one text.
 TOGETHER = 500
 #: White space by any version of Unicode; no text is cut beside it.
@@ -67,9 +67,12 @@ def made_from(word: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes] | Non
 
 
 class Vocabulary(NamedTuple):
-    """``model`` is the library's own form of the tokenizer, ``path`` names it in the workers' memory."""
+    """``model`` is the library's own form of the tokenizer, ``path`` names it in the workers' memory; ``bytes`` are those of all ids, one
+    after the other, ``sizes`` how many each id has."""
     path: str
     model: str
+    bytes: np.ndarray
+    sizes: np.ndarray
 
 
 def load_vocabulary(path: str | None = None, pattern: str | None = None) -> Vocabulary:
@@ -90,24 +93,21 @@ def load_vocabulary(path: str | None = None, pattern: str | None = None) -> Voca
     tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
         pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     tokenizer.decoder = decoders.ByteLevel()
-    return Vocabulary(f"{path}|{pattern}", tokenizer.to_str())
+    byte_of = {c: b for b, c in enumerate(table)}
+    words = [b""] * (max(ranks.values()) + 1)
+    for piece, i in tokenizer.get_vocab().items():
+        words[i] = bytes(byte_of[c] for c in piece)
+    return Vocabulary(f"{path}|{pattern}", tokenizer.to_str(), np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words], np.int64))
 
 
 class Coder:
-    """The tokenizer in a worker, with the bytes of each id in one row."""
+    """The tokenizer in a worker, and the encodings that it remembers."""
 
-    def __init__(self, model: str):
+    def __init__(self, model: str, sizes: np.ndarray):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(model)
-        byte_of = {c: b for b, c in enumerate(byte_table())}
-        words = [b""] * (max(self.tokenizer.get_vocab().values()) + 1)
-        for piece, i in self.tokenizer.get_vocab().items():
-            words[i] = bytes(byte_of[c] for c in piece)
-        self.sizes = np.array([len(w) for w in words], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
-        self.bytes = np.frombuffer(b"".join(words), np.uint8)
+        self.tokenizer, self.sizes = Tokenizer.from_str(model), sizes
         self.white = np.zeros(0x110000, bool)
         self.white[WHITE] = True
         self.known: dict[bytes, bytes] = {}
@@ -202,14 +202,14 @@ def _schema(df: DataFrame, **added: T.DataType) -> T.StructType:
 
 def encode(documents: DataFrame, vocabulary: Vocabulary, text_column: str = "text") -> DataFrame:
     """The table's columns and ``ids``, ``starts``, ``ends``: token ids, and the characters of the text that each token comes from."""
-    model = documents.sparkSession.sparkContext.broadcast(vocabulary.model)  # of the vocabulary file's size
+    sent = documents.sparkSession.sparkContext.broadcast((vocabulary.model, vocabulary.sizes))  # of the vocabulary file's size
     key, whole = vocabulary.path, text_of(text_column)
     ints = T.ArrayType(T.IntegerType())
     schema = _schema(documents, ids=ints, starts=ints, ends=ints)
     kept = [f.name for f in schema.fields[:-3]]
 
     def run(batches):
-        coder = per_worker("byte-bpe", key, lambda: Coder(model.value))
+        coder = per_worker("byte-bpe", key, lambda: Coder(*sent.value))
         for batch in batches:
             last = batch.num_columns - 1
             for part in slices(batch, pc.binary_length(batch.column(last)).to_numpy(zero_copy_only=False).astype(np.int64)):
@@ -223,14 +223,14 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, text_column: str = "tex
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids") -> DataFrame:
     """The table's columns and ``decoded`` (bytes) and ``decoded_text``, from the ids alone."""
-    model = encoded.sparkSession.sparkContext.broadcast(vocabulary.model)
-    key = vocabulary.path
+    sent = encoded.sparkSession.sparkContext.broadcast((vocabulary.bytes, vocabulary.sizes))
     rows = encoded.drop("decoded", "decoded_text")
     schema = _schema(rows, decoded=T.BinaryType())
     kept = [f.name for f in schema.fields[:-1]]
 
     def run(batches):
-        coder = per_worker("byte-bpe", key, lambda: Coder(model.value))
+        words, sizes = sent.value
+        starts = np.cumsum(sizes) - sizes
         for batch in batches:
             last = batch.num_columns - 1
             counts = pc.fill_null(pc.list_value_length(batch.column(last)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -238,8 +238,8 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids")
                 lists = part.column(last)
                 ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-                raw = coder.bytes[spread(coder.starts[ids], coder.sizes[ids])]
-                bounds = np.concatenate([[0], np.cumsum(coder.sizes[ids])])[np.concatenate([[0], np.cumsum(n)])]
+                raw = words[spread(starts[ids], sizes[ids])]
+                bounds = np.concatenate([[0], np.cumsum(sizes[ids])])[np.concatenate([[0], np.cumsum(n)])]
                 texts = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(raw)])
                 yield pa.RecordBatch.from_arrays([*part.columns[:last], texts], names=[*kept, "decoded"])
 
@@ -259,6 +259,4 @@ def round_trip_digests(documents: DataFrame, vocabulary: Vocabulary, id_column:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.size(F.filter(F.arrays_zip(F.slice("starts", 1, F.greatest(F.size("starts") - 1, F.lit(0))).alias("a"),
-                                     F.slice("starts", 2, F.greatest(F.size("starts") - 1, F.lit(0))).alias("b")),
-                        lambda z: z["a"] == z["b"])).cast("long").alias("split_tokens"))
+        (F.size("starts") - F.size(F.array_distinct("starts"))).cast("long").alias("split_tokens"))

@@ -159,7 +159,7 @@ def test_ids_places_and_bytes_of_hard_rows(docs, vocabulary, tiktoken_encoding):
 
 
 def test_small_slices_give_the_same(docs, vocabulary):
-    coder = byte_bpe.Coder(vocabulary.model)
+    coder = byte_bpe.Coder(vocabulary.model, vocabulary.sizes)
     whole = byte_bpe.encoded_texts(texts(), coder)
     for i, text in enumerate(texts()):
         one = byte_bpe.encoded_texts([text], coder)
@@ -168,7 +168,7 @@ def test_small_slices_give_the_same(docs, vocabulary):
 
 
 def test_every_character_in_many_surroundings(vocabulary, tiktoken_encoding):
-    coder = byte_bpe.Coder(vocabulary.model)
+    coder = byte_bpe.Coder(vocabulary.model, vocabulary.sizes)
     points = [*range(0x3000), *range(0x3000, 0xD800, 37), *range(0xE000, 0x110000, 997)]
     lines = [f"a{chr(c)}b 1{chr(c)}2 !{chr(c)}?  {chr(c)}{chr(c)} {chr(c)} \n{chr(c)}\n {chr(c)} x" for c in points]
     got = byte_bpe.encoded_texts(lines, coder)
