@@ -161,6 +161,14 @@ def neighbour_vote(spark, folder):
     return N.vote(_nearest(spark, folder))
 
 
+@query("M15")
+def recall_of_hashed_neighbours(spark, folder):
+    """How many of all five nearest neighbours the hashed form finds."""
+    vectors = table(spark, folder, "embeddings")
+    found = N.nearest_by_hashes(vectors, vectors, 5, "vec_id", "embedding", leave_out_self=True)
+    return N.recall(found, _nearest(spark, folder))
+
+
 def message_parts(spark, folder):
     return Pr.split_by_key(clean(spark, folder).select("id", "message", *LABELS[:3]), "id", 75)
 

@@ -34,3 +34,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def keep(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once under the shared folder and read back: later steps and lost executors read them, nothing is repeated."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -120,7 +120,7 @@ def test_a_user_with_a_third_of_all_events(spark):
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("bigint").alias("userId"), (F.col("id") % 11).alias("sessionId"),
         F.col("id").alias("itemInSession"), F.when(F.col("id") == 3, "Cancellation Confirmation").otherwise("NextSong").alias("page"),
         (F.col("id") * 1000).alias("ts"), F.lit(0).cast("bigint").alias("registration"), F.lit(1.0).alias("length"),
-        F.lit("free").alias("level"), F.lit(1).alias("month"), F.lit(1).alias("date"),
+        F.lit("free").alias("level"), F.lit("2018-10-01").cast("date").alias("monthStart"), F.lit(1).alias("month"), F.lit(1).alias("date"),
     ).repartition(6)
     labelled = B.label_churn(log)
     assert labelled.count() == n and labelled.filter("churn = 1").count() == n // 3
