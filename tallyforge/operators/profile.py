@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from ..schemas import numeric_columns, text_columns
 
-# Below this row count quartiles come from one exact aggregate; above it the rank is bracketed first.
-EXACT_ROWS = 200_000
-
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -134,59 +132,97 @@ def text_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.agg(F.array(*stats).alias("rows")).select(F.inline("rows"))
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list[Column]]:
-    """Exact linear-interpolated quantiles as aggregate-ready Columns.
+#: Parts into which a round cuts the values among which a wanted rank lies.
+PARTS = 256
+
+
+def _magnitude(x: Column) -> Column:
+    """A whole number that grows with x: its sign and power of two. Logarithms never fall where x grows, so no order is lost."""
+    power = F.least(F.greatest(F.floor(F.log2(F.abs(x))), F.lit(-1100)), F.lit(1100)).cast("int") + 1200
+    return F.when(x == 0, 0).when(x > 0, power).otherwise(-power)
+
 
-    A table of at most ``EXACT_ROWS`` rows uses the exact percentile aggregate. A larger one
-    would gather all distinct values of a column in one task, so there each wanted rank is
-    first bracketed by sketch quantiles and exact counts until few enough values are left.
+def _counted(df: DataFrame, cells: dict[str, Column]) -> list[tuple]:
+    """(column number, part, n, least, greatest) of all columns' parts, in one aggregate; a null part is not counted."""
+    each = [F.struct(F.lit(i).alias("i"), part.alias("part"), _q(c).cast("double").alias("x")) for i, (c, part) in enumerate(cells.items())]
+    long = df.select(F.explode(F.array(*each)).alias("cell")).select("cell.*").filter(F.col("part").isNotNull())
+    return sorted(tuple(r) for r in long.groupBy("i", "part").agg(F.count("*"), F.min("x"), F.max("x")).collect())
+
+
+def values_at_ranks(df: DataFrame, columns: list[str], ranks) -> tuple[dict[str, dict[int, float]], dict[str, int]]:
+    """The values at 0-based ranks among each column's values, nulls and NaN left out, and each column's number of values. ``ranks``
+    gives the wanted ranks from that number.
+
+    The values are counted by sign and power of two; then each part that holds a wanted rank is cut into ``PARTS`` even ones between its
+    least and its greatest value and counted again, until it holds one value, however often. Each round is one aggregate for all columns
+    and ranks, so the columns are read about nine times at most, fewer where values are whole or repeat. What is
+    collected is a count a part: columns times ranks times ``PARTS`` rows.
     """
-    counts = df.agg(*[F.count(_q(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    out: dict[str, list[Column]] = {}
+    values = df.select(*[_q(c).cast("double").alias(c) for c in columns]).persist(StorageLevel.MEMORY_AND_DISK)  # read once a round
+    try:
+        return _values_at_ranks(values, columns, ranks)
+    finally:
+        values.unpersist()
+
+
+def _values_at_ranks(values: DataFrame, columns: list[str], ranks) -> tuple[dict[str, dict[int, float]], dict[str, int]]:
+    known = lambda c: _q(c).isNotNull() & ~F.isnan(_q(c))
+    counted = _counted(values, {c: F.when(known(c), _magnitude(_q(c))) for c in columns})
+    out: dict[str, dict[int, float]] = {c: {} for c in columns}
+    sizes: dict[str, int] = {}
+    open_parts: dict[str, dict[tuple[float, float], list[tuple[int, int]]]] = {}
+
+    def settle(c: str, rows: list[tuple], wanted: list[tuple[int, int]]) -> None:
+        """Ranks (in the column, among these rows) to values, or to the part they lie in."""
+        ends = []
+        for row in rows:
+            ends.append((ends[-1] if ends else 0) + row[2])
+        for rank, among in wanted:
+            at = next(j for j, end in enumerate(ends) if among < end)
+            _, _, n, low, high = rows[at]
+            if low == high:
+                out[c][rank] = low
+            else:
+                open_parts.setdefault(c, {}).setdefault((low, high), []).append((rank, among - (ends[at] - n)))
+
     for i, c in enumerate(columns):
-        n = counts[f"n{i}"]
-        if n <= EXACT_ROWS:
-            out[c] = [F.percentile(_q(c), p) for p in probs]
-            continue
-        picked = []
-        for p in probs:
-            position = p * (n - 1)
-            low = int(position)
-            a = value_at_rank(df, c, low, n)
-            b = a if position == low else value_at_rank(df, c, low + 1, n)
-            picked.append(F.lit(a + (b - a) * (position - low)))
-        out[c] = picked
-    return out
+        rows = [r for r in counted if r[0] == i]
+        sizes[c] = sum(r[2] for r in rows)
+        settle(c, rows, [(r, r) for r in ranks(sizes[c])] if rows else [])
+    while open_parts:
+        before, open_parts = open_parts, {}
+        cells = {}
+        for c, parts in before.items():
+            cell = F.lit(None).cast("int")
+            for j, (low, high) in enumerate(parts):
+                # half of each difference, as that of the largest doubles is beyond them; every step grows with x
+                share = (_q(c) / 2 - low / 2) / (high / 2 - low / 2)
+                cell = F.when(_q(c).between(low, high), j * PARTS + F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).cast("int")).otherwise(cell)
+            cells[c] = cell
+        counted = _counted(values, cells)
+        for i, (c, parts) in enumerate(before.items()):
+            for j, wanted in enumerate(parts.values()):
+                settle(c, [r for r in counted if r[0] == i and r[1] // PARTS == j], wanted)
+    return out, sizes
 
 
-def value_at_rank(df: DataFrame, column: str, rank: int, n: int, limit: int = EXACT_ROWS) -> float:
-    """The value at 0-based ``rank`` among the ``n`` non-null values of a column.
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list[Column]]:
+    """Exact linear-interpolated quantiles of all columns as constants, null for columns without values; see ``values_at_ranks``."""
+    def ranks(n: int) -> list[int]:
+        return sorted({r for p in probs for r in (int(p * (n - 1)), min(n - 1, int(p * (n - 1)) + 1))})
 
-    Each pass scans the one column and returns a handful of numbers: two sketch quantiles
-    around the rank, then exact counts that tell which side of them the rank lies on. The
-    two values themselves leave the open bracket, so ties, however many, end the search.
-    """
-    x = _q(column)
-    rest, below, left = df.select(x).filter(x.isNotNull()), 0, n
-    while left > limit:
-        share = (rank - below) / left
-        eps = 2e-4
-        a, b = rest.agg(F.percentile_approx(x, [max(share - eps, 0.0), min(share + eps, 1.0)], 10_000)).first()[0]
-        lt_a, le_a, lt_b, le_b = rest.agg(
-            F.count_if(x < a), F.count_if(x <= a), F.count_if(x < b), F.count_if(x <= b)
-        ).first()
-        target = rank - below
-        if lt_a <= target < le_a:
-            return a
-        if lt_b <= target < le_b:
-            return b
-        if target < lt_a:
-            rest, left = rest.filter(x < a), lt_a
-        elif target < lt_b:
-            rest, below, left = rest.filter((x > a) & (x < b)), below + le_a, lt_b - le_a
-        else:
-            rest, below, left = rest.filter(x > b), below + le_b, left - le_b
-    return rest.agg(F.get(F.array_sort(F.collect_list(x)), F.lit(rank - below))).first()[0]
+    found, sizes = values_at_ranks(df, columns, ranks)
+    out: dict[str, list[Column]] = {}
+    for c in columns:
+        n, out[c] = sizes[c], []
+        for p in probs:
+            if not n:
+                out[c].append(F.lit(None).cast("double"))
+                continue
+            position = p * (n - 1)
+            a, b = found[c][int(position)], found[c][min(n - 1, int(position) + 1)]
+            out[c].append(F.lit(a if a == b else a + (b - a) * (position - int(position))))
+    return out
 
 
 # -- histograms --------------------------------------------------------------------------------

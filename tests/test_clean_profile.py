@@ -39,20 +39,44 @@ def test_summary_and_exact_quantiles(spark):
     assert math.isclose(r["std"], math.sqrt(5 / 3))
 
 
-def test_value_at_rank_narrows_through_ties(spark):
-    random.seed(7)
-    values = [float(random.randint(0, 400)) for _ in range(4000)] + [77.0] * 2000 + [random.random() for _ in range(500)]
-    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
-    ordered = sorted(values)
-    for rank in [0, 1, 250, 499, 500, 1624, 3249, 3250, 4875, 6498, 6499]:
-        assert P.value_at_rank(df, "x", rank, len(values), limit=50) == ordered[rank]
-
-
-def test_large_tables_use_brackets(spark, monkeypatch):
-    monkeypatch.setattr(P, "EXACT_ROWS", 100)
-    df = spark.range(1001).select((F.col("id") * 1.0).alias("x"))
-    r = P.summary(df).first()
-    assert (r.q25, r.q50, r.q75) == (250.0, 500.0, 750.0)
+def jobs_of(spark, work):
+    """The result of some work and the number of Spark jobs it ran."""
+    group = f"jobs-{id(work)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+HARD = [
+    [0.0, -0.0, 1e-310, -1e-310, 5e-324, 1.7e308, -1.7e308, 1.0, 1.0000000000000002, 0.9999999999999999],
+    [float("inf"), float("-inf"), 2.0, 2.0, 3.0], [10.0 ** e for e in range(-300, 300, 7)], [-(1.5 ** e) for e in range(-200, 200, 3)],
+    [7.0] * 50, [1.0], [math.sin(i) * 1000 for i in range(700)],
+]
+
+
+def test_values_at_all_ranks_of_hard_columns(spark):
+    longest = max(map(len, HARD))
+    data = [tuple(c[i] if i < len(c) else (None if i % 2 else float("nan")) for c in HARD) for i in range(longest)]
+    names = [f"c {i}" for i in range(len(HARD))]
+    df = spark.createDataFrame(data, ", ".join(f"`{n}` double" for n in names)).repartition(3)
+    found, sizes = P.values_at_ranks(df, names, lambda n: list(range(0, n, max(1, n // 20))))
+    for name, column in zip(names, HARD):
+        assert sizes[name] == len(column)
+        assert found[name] == {r: sorted(column)[r] for r in range(0, len(column), max(1, len(column) // 20))}
+
+
+def test_rounds_do_not_depend_on_columns_and_ranks(spark):
+    df = spark.range(5000).select(*[(F.sin(F.col("id") + i) * 10 ** (i % 3)).alias(f"x{i}") for i in range(12)])
+    one = jobs_of(spark, lambda: P.values_at_ranks(df, ["x1"], lambda n: [n // 2]))[1]
+    many = jobs_of(spark, lambda: P.values_at_ranks(df, [f"x{i}" for i in range(12)], lambda n: [n // 4, n // 2, n // 2 + 1, n - 1]))[1]
+    assert one <= 2 * 9 and many <= 2 * 9  # at most nine rounds, each a shuffle and its result
+
+
+def test_quartiles_without_values(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
+    assert rows(P.summary(df).select("column_name", "n", "q25", "q50", "q75")) == [("a", 0, None, None, None), ("b", 2, 1.25, 1.5, 1.75)]
 
 
 def test_histogram_closes_the_last_bin(spark):
