@@ -171,6 +171,13 @@ def vocabulary_of_words_and_pairs(spark, folder):
     return T.vocabulary(T.term_counts(docs, "doc_id", content_words("text", 2)), docs.agg(F.count(F.lit(1))).scalar(), 0.8, 10_000)
 
 
+@query("T4", f"WITH {DOC_TERMS_SQL} SELECT term, total::bigint AS total, df, row_number() OVER (ORDER BY total DESC, term) - 1 AS term_id FROM terms")
+def numbered_vocabulary(spark, folder):
+    """All terms of all documents with their places."""
+    docs = documents(spark, folder)
+    return T.term_index(T.term_counts(docs, "doc_id", content_words("text")), docs.count())
+
+
 def _weights(extra: str = "") -> str:
     return f"""WITH {DOC_TERMS_SQL}, kept AS (SELECT * FROM terms {extra}), n AS (SELECT count(*) AS n FROM documents),
   w AS (SELECT doc_id, term, tf, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM counts JOIN kept USING (term), n)

@@ -213,7 +213,7 @@ def hashed_term_totals(spark, folder):
   SELECT d.doc_id, count(k.term)::int AS n_distinct FROM documents d LEFT JOIN counts c ON d.doc_id = c.doc_id LEFT JOIN kept k ON c.term = k.term GROUP BY d.doc_id""")
 def count_vector_sizes(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", content_words("text").alias("terms"))
-    fitted = Tm.WordCounts(inputCol="terms", outputCol="counts", vocabSize=Tm.UNLIMITED_WORDS, maxDF=Tm.df_limit(0.8)).fit(docs)
+    fitted = Tm.TermVectors(outputCol="counts", maxDF=0.8, weights="counts").fit(docs)
     return fitted.transform(docs).select("doc_id", F.size(F.unwrap_udt("counts")["indices"]).alias("n_distinct"))
 
 
@@ -272,7 +272,7 @@ def message_grid(spark, folder):
     base = LogisticRegression(maxIter=5)
     pipeline = message_model(base, LABELS[:2])
     terms, counts = pipeline.getStages()[:2]
-    grid = [{terms.ngrams: n, counts.maxDF: Tm.df_limit(d), counts.vocabSize: v} for n, d, v in [(1, 0.8, 2000), (2, 1.0, 10_000)]]
+    grid = [{terms.ngrams: n, counts.maxDF: d, counts.vocabSize: v} for n, d, v in [(1, 0.8, 2000), (2, 1.0, 10_000)]]
     return Tu.grid_search(pipeline, grid, Mo.AllLabelsRight(LABELS[:2]), train, "id", folds=3, parallelism=2)[1]
 
 

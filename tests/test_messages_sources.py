@@ -107,3 +107,18 @@ def test_checkpoint_goes_to_the_named_folder(spark):
     kept = workspace.cut_lineage(spark.range(5))
     assert rows(kept) == [(i,) for i in range(5)]
     assert named in spark.sparkContext.getCheckpointDir()
+
+
+def test_term_places_and_sparse_rows(spark):
+    from tallyforge.ml import textmodel as Tm
+
+    df = spark.createDataFrame([(1, ["b", "a", "a"]), (2, ["c", "a", "b"]), (3, []), (4, None), (5, ["b", "a", "a"]), (6, ["zz"])], "id int, terms array<string>")
+    counts = df.select("id", F.explode("terms").alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
+    index = T.term_index(counts.repartition(7), 6)
+    assert rows(index.select("term_id", "term", "total", "df"), "term_id") == [(0, "a", 5, 3), (1, "b", 3, 3), (2, "c", 1, 1), (3, "zz", 1, 1)]
+    assert rows(T.term_index(counts, 6, max_features=3).select("term"), "term") == [("a",), ("b",), ("c",)]  # of equal totals the first term
+    assert rows(T.term_index(counts, 6, max_df=0.4).select("term_id", "term"), "term_id") == [(0, "c"), (1, "zz")]
+    assert T.term_index(counts.limit(0), 0).count() == 0
+    model = Tm.TermVectors(outputCol="v", weights="counts").fit(df)
+    got = {r.id: (r.v.size, r.v.indices.tolist(), r.v.values.tolist()) for r in model.transform(df).collect()}
+    assert got == {1: (4, [0, 1], [2.0, 1.0]), 2: (4, [0, 1, 2], [1.0, 1.0, 1.0]), 3: (4, [], []), 4: (4, [], []), 5: (4, [0, 1], [2.0, 1.0]), 6: (4, [3], [1.0])}

@@ -222,7 +222,7 @@ def test_vector_tf_idf_equals_long_form(spark, texts):
     from tallyforge.functions.text import content_words
     from tallyforge.operators.textfeatures import tf_idf
     fitted = Tm.tf_idf_pipeline().fit(texts)
-    words = fitted.stages[1].vocabulary
+    words = {r.term_id: r.term for r in fitted.stages[1].index.collect()}
     vectors = {r.id: {words[i]: v for i, v in zip(r.features.indices, r.features.values)} for r in fitted.transform(texts).collect()}
     for r in tf_idf(texts, "id", content_words("message")).collect():
         assert vectors[r.id][r.term] == pytest.approx(r.weight)
