@@ -8,6 +8,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from .. import fixed_values as fixed
 from ..functions.text import content_words
 from ..ml import evaluate as Ev
 from ..ml import models as Mo
@@ -17,6 +18,7 @@ from ..ml import score as Sc
 from ..ml import selection as Se
 from ..ml import textmodel as Tm
 from ..ml import tune as Tu
+from ..ml.bayes import GaussianLabels, GaussianLabelsModel, label_statistics
 from ..ml.boosting import AdaBoostClassifier, AdaBoostModel
 from ..ml.kernel import kernel_svm, scale_gamma
 from ..operators import labels as L
@@ -25,12 +27,12 @@ from ..plans.income import census_features
 from ..plans.messages import message_model
 from ..plans.survey import modelling_split, modelling_table, with_flags
 from ..sources.models import load_model, save_model
-from ..streaming.scoring import score_stream
+from ..streaming.scoring import link_stream, score_stream
 from ..workspace import scratch_path
 from .clicklog import DUMMY_COLUMNS, FEATURE_COLUMNS, FEATURES_CTE, PAGE_COLUMNS, user_features
 from .messaging import CONTENT_SQL, DOC_TERMS_SQL, clean
 from .registry import query, rounded, table
-from .stand_ins import LABELS, census, flagged_sql, messages, packed_labels, survey
+from .stand_ins import CLEAN_MESSAGES_SQL, LABELS, census, flagged_sql, messages, packed_labels, survey
 
 ALL_FEATURES = FEATURE_COLUMNS + DUMMY_COLUMNS + PAGE_COLUMNS
 VALUES = {"workclass": ["Private", "Self-emp", "State-gov"], "sex": ["Female", "Male"]}
@@ -299,6 +301,106 @@ def top_feature_scores(spark, folder):
     return Se.compare_with_top_features(forest, forest.fit(train), train, test, 5)
 
 
+# -- all labels in one pass ---------------------------------------------------------------------
+
+TEXT_FEATURES = ["n_letters", "n_blanks", "n_digits"]
+
+
+def _with_text_features(rows):
+    """Length of a message, and its blanks and digits."""
+    message = F.col("message")
+    return rows.withColumns({
+        "n_letters": F.length(message).cast("double"), "n_blanks": F.length(F.regexp_replace(message, "[^ ]", "")).cast("double"),
+        "n_digits": F.length(F.regexp_replace(message, "[^0-9]", "")).cast("double")})
+
+
+_FEATURE_SQL = """length(message)::double AS x0, length(regexp_replace(message, '[^ ]', '', 'g'))::double AS x1,
+  length(regexp_replace(message, '[^0-9]', '', 'g'))::double AS x2"""
+_BAYES_SQL = CLEAN_MESSAGES_SQL + f""",
+long AS (SELECT id, {_FEATURE_SQL}, unnest(['quality', 'toxic', 'either', 'none']) AS label_name, unnest([quality, toxic, either, "none"])::int AS class FROM clean),
+stats AS (SELECT label_name, class, count(*) AS n, avg(x0) AS m0, avg(x1) AS m1, avg(x2) AS m2, var_pop(x0) AS v0, var_pop(x1) AS v1, var_pop(x2) AS v2
+  FROM long GROUP BY label_name, class),
+extra AS (SELECT 1e-9 * greatest(var_pop(x0), var_pop(x1), var_pop(x2)) AS e FROM long WHERE label_name = 'none'),
+chance AS (SELECT label_name, class, ln(n / sum(n) OVER (PARTITION BY label_name)) AS share, count(*) OVER (PARTITION BY label_name) AS classes,
+  m0, m1, m2, v0 + e AS v0, v1 + e AS v1, v2 + e AS v2 FROM stats, extra),
+texts AS (SELECT id, {_FEATURE_SQL} FROM messages),
+density AS (SELECT id, label_name, class, classes, share - 0.5 * ln(2 * pi() * v0) - (x0 - m0) ** 2 / (2 * v0) - 0.5 * ln(2 * pi() * v1) - (x1 - m1) ** 2 / (2 * v1)
+  - 0.5 * ln(2 * pi() * v2) - (x2 - m2) ** 2 / (2 * v2) AS d FROM texts, chance),
+sides AS (SELECT id, label_name, max(d) FILTER (class = 1) AS d1, max(d) FILTER (class = 0) AS d0, max(classes) AS classes, max(class) AS sole FROM density GROUP BY ALL),
+scored AS (SELECT id, label_name, CASE WHEN classes = 2 THEN round(d1 - d0, 6) END AS score,
+  CASE WHEN classes < 2 THEN sole WHEN d1 > d0 THEN 1 WHEN d1 <= d0 THEN 0 END AS prediction FROM sides)"""
+
+
+def _label_model(spark, folder):
+    return GaussianLabels(TEXT_FEATURES, LABELS).fit(_with_text_features(clean(spark, folder)))
+
+
+@query("M14 M17", f"""WITH {_BAYES_SQL} SELECT label_name, class, n, round(n / sum(n) OVER (PARTITION BY label_name), 9) AS share,
+  round(m0, 6) AS mean_letters, round(m1, 6) AS mean_blanks, round(v0, 3) AS variance_letters, round(v2, 6) AS variance_digits FROM stats""")
+def label_class_statistics(spark, folder):
+    """Share, means and variances of both classes of every label, from one aggregate."""
+    found = label_statistics(_with_text_features(clean(spark, folder)), TEXT_FEATURES, LABELS).filter("label_name IS NOT NULL")
+    total = found.groupBy("label_name").agg(F.sum("n").alias("total"))
+    return rounded(rounded(found.join(total, "label_name").select(
+        "label_name", "class", "n", F.round(F.col("n") / F.col("total"), 9).alias("share"), F.get("means", F.lit(0)).alias("mean_letters"),
+        F.get("means", F.lit(1)).alias("mean_blanks"), F.get("variances", F.lit(0)).alias("variance_letters"),
+        F.get("variances", F.lit(2)).alias("variance_digits")), "mean_letters", "mean_blanks", "variance_digits"), "variance_letters", digits=3)
+
+
+@query("M14 M17 M30", f"WITH {_BAYES_SQL} SELECT id, label_name, prediction::int AS prediction, score FROM scored")
+def label_scores_of_all_messages(spark, folder):
+    """Every label of every message predicted by the model of all labels, with its score."""
+    scored = _label_model(spark, folder).transform(_with_text_features(messages(spark, folder)))
+    each = [F.struct(F.lit(c).alias("label_name"), F.col(f"prediction_{c}").cast("int").alias("prediction"), F.round(f"score_{c}", 6).alias("score")) for c in LABELS]
+    return scored.select("id", F.inline(F.array(*each)))
+
+
+#: Labels of the given tables by the names that the links have.
+LINK_NAMES = {"quality": "request", "toxic": "security", "either": "shelter"}
+_LINK_SQL = "CASE label_name " + " ".join(f"WHEN '{c}' THEN '{fixed.ADVICE_LINKS[name]}'" for c, name in LINK_NAMES.items()) + " END"
+_LABEL_LINKS_SQL = f"WITH {_BAYES_SQL} SELECT id, label_name, {_LINK_SQL} AS link FROM scored WHERE prediction = 1"
+
+
+def _links(spark):
+    return Sc.advice_links(spark, {c: fixed.ADVICE_LINKS[name] for c, name in LINK_NAMES.items()})
+
+
+def _stored_label_model(spark, folder):
+    return load_model(save_model(_label_model(spark, folder), scratch_path(spark, "label-model")), GaussianLabelsModel)
+
+
+@query("M30 E15 S5 M17", _LABEL_LINKS_SQL)
+def links_of_predicted_labels(spark, folder):
+    """The stored model of all labels applied to all messages: the predicted labels with their links."""
+    rows = _with_text_features(messages(spark, folder))
+    return Sc.links_of_predicted_labels(_stored_label_model(spark, folder), rows, "id", LABELS, _links(spark))
+
+
+@query("M30 E15 S5", _LABEL_LINKS_SQL)
+def streamed_links_of_predicted_labels(spark, folder):
+    """The same rows from a stream of message files, joined with the table of links."""
+    source, sink, progress = [scratch_path(spark, x) for x in ("incoming", "linked", "progress")]
+    incoming = messages(spark, folder).select("id", "message")
+    incoming.write.parquet(source)
+    link_stream(spark, _stored_label_model(spark, folder), source, incoming.schema, sink, progress, "id", LABELS, _links(spark),
+                _with_text_features).awaitTermination()
+    return spark.read.schema("id bigint, label_name string, link string, batch int").parquet(sink).select("id", "label_name", "link")
+
+
+@query("M23", f"""WITH {CLEAN_MESSAGES_SQL}, long AS (SELECT length(message) AS s, unnest(['quality', 'toxic', 'either']) AS label_name,
+  unnest([quality, toxic, either])::int AS y FROM clean),
+steps AS (SELECT label_name, s, sum(y) AS hits, count(*) AS n FROM long GROUP BY ALL),
+points AS (SELECT *, sum(hits) OVER o AS tp, sum(n) OVER o AS seen, sum(hits) OVER (PARTITION BY label_name) AS every FROM steps WINDOW o AS (PARTITION BY label_name ORDER BY s DESC))
+SELECT label_name, round(sum(hits * (tp / seen + CASE WHEN seen > n THEN (tp - hits) / (seen - n) ELSE tp / seen END) / 2) / max(every), 9) AS area FROM points GROUP BY label_name""")
+def precision_recall_areas(spark, folder):
+    """How well the length of a message ranks the rows of each label."""
+    rows, areas = clean(spark, folder), None
+    for c in LABELS[:-1]:  # the last label has no row
+        area = Ev.precision_recall_area(rows, c, F.length("message")).select(F.lit(c).alias("label_name"), "area")
+        areas = area if areas is None else areas.unionByName(area)
+    return rounded(areas, "area", digits=9)
+
+
 # -- storage and scoring -----------------------------------------------------------------------
 
 

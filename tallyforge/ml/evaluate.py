@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.profile import _q
+from ..workspace import keep
 
 
 def confusion(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -120,7 +121,31 @@ def naive_baseline(df: DataFrame, label: str, beta: float = 0.5) -> DataFrame:
 
 
 def area_under_pr(predictions: DataFrame, label: str = "label", raw: str = "rawPrediction") -> float:
-    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderPR").evaluate(predictions)
+    """Area under precision over recall by the score of class 1, exact: no bins, and equal scores are one step."""
+    rows = predictions.select(_q(label).cast("int").alias("y"), vector_to_array(_q(raw))[1].alias("score"))
+    return precision_recall_area(rows, "y", "score").first()[0]
+
+
+def precision_recall_area(df: DataFrame, label: str, score: Column | str) -> DataFrame:
+    """One row, area: between the points of all different scores, highest first, by trapezoids; the first step is level.
+
+    Rows are counted by score, scores sorted by range, and a range's running sums go on from the sums of those before it (a number a
+    range, all that the driver holds). Rows without label or score are left out; null without rows of class 1.
+    """
+    by = _q(score) if isinstance(score, str) else score
+    known = df.select(_q(label).cast("int").alias("y"), by.cast("double").alias("s")).filter("y IS NOT NULL AND s IS NOT NULL")
+    steps = known.groupBy("s").agg(F.sum("y").alias("hits"), F.count(F.lit(1)).alias("n"))
+    ranges = keep(steps.repartitionByRange(F.desc("s")).select("*", F.spark_partition_id().alias("slot")), "score-ranges")
+    before, sums = {}, (0, 0)
+    for slot, hits, n in sorted(tuple(r) for r in ranges.groupBy("slot").agg(F.sum("hits"), F.sum("n")).collect()):
+        before[slot], sums = sums, (sums[0] + hits, sums[1] + n)
+    at = lambda i: F.create_map(*[F.lit(x) for k, v in (before or {0: (0, 0)}).items() for x in (k, v[i])])[F.col("slot")]
+    order = Window.partitionBy("slot").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
+    points = ranges.select("hits", "n", (at(0) + F.sum("hits").over(order)).alias("tp"), (at(1) + F.sum("n").over(order)).alias("all"))
+    precision = F.col("tp") / F.col("all")
+    earlier = F.when(F.col("all") > F.col("n"), (F.col("tp") - F.col("hits")) / F.nullif(F.col("all") - F.col("n"), F.lit(0))).otherwise(precision)
+    return points.agg(F.sum(F.col("hits") * (precision + earlier) / 2).alias("area")).select(
+        (F.col("area") / F.nullif(F.lit(sums[0]), F.lit(0))).alias("area"))
 
 
 def importances(spark, model, names: list[str], top: int = 5) -> DataFrame:

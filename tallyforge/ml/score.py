@@ -27,3 +27,12 @@ def predicted_labels(scored: DataFrame, key: str, labels: list[str]) -> DataFram
     return scored.select(_q(key), F.inline(F.array(*[
         F.struct(F.lit(c).alias("label_name"), _q(f"prediction_{c}").cast("int").alias("prediction")) for c in labels
     ])))
+
+
+def links_of_predicted_labels(model, rows: DataFrame, key: str, labels: list[str], links: DataFrame) -> DataFrame:
+    """(key, label_name, link): the labels a model predicts for each row, and only these, with their links by name.
+
+    ``rows`` may be a stream when the model's transform is made of expressions: the links are then the static side of the join.
+    """
+    predicted = predicted_labels(model.transform(rows), key, labels).filter(F.col("prediction") == 1)
+    return with_advice(predicted.select(_q(key), "label_name"), links).select(_q(key), "label_name", "link")
