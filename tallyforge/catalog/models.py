@@ -233,6 +233,41 @@ def one_feature_line(spark, folder):
         "slope double, intercept double, train_r2 double")
 
 
+_PRICE_SUMS = """parts AS (SELECT l_orderkey % 100 < 70 AS is_train, l_quantity::double AS x1, l_discount::double AS x2, l_extendedprice::double AS y FROM lineitem),
+m AS (SELECT is_train, count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, covar_pop(x1, x1) AS s11, covar_pop(x2, x2) AS s22, covar_pop(x1, x2) AS s12,
+  covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y, var_pop(y) AS syy FROM parts GROUP BY is_train),
+t AS (SELECT * FROM m WHERE is_train),
+fits AS (
+  SELECT 0 AS cutoff, 2 AS n_features, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM t
+  UNION ALL SELECT (SELECT ceil(sum(x2)) FROM parts), 1, s1y / s11, 0 FROM t),
+lines AS (SELECT f.*, t.my - f.b1 * t.m1 - f.b2 * t.m2 AS b0 FROM fits f, t),
+scored AS (SELECT lines.*, m.is_train, 1 - (syy - 2 * (b1 * s1y + b2 * s2y) + b1 * b1 * s11 + 2 * b1 * b2 * s12 + b2 * b2 * s22 + (my - b0 - b1 * m1 - b2 * m2) ** 2) / syy AS r2
+  FROM lines, m)"""
+
+
+def _price_parts(spark, folder):
+    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_extendedprice")
+    return Pr.split_by_key(rows, "l_orderkey", 70, method="plain")
+
+
+@query("M20 M18", f"""WITH {_PRICE_SUMS} SELECT cutoff::double AS cutoff, n_features, round(max(r2) FILTER (WHERE is_train), 9) AS train_r2,
+  round(max(r2) FILTER (WHERE NOT is_train), 9) AS test_r2 FROM scored GROUP BY cutoff, n_features""")
+def price_cutoffs(spark, folder):
+    """Price by quantity and discount, and by the quantity alone, as a cut-off at the discounts' total leaves it."""
+    train, test = _price_parts(spark, folder)
+    total = table(spark, folder, "lineitem").agg(F.ceil(F.sum(F.col("l_discount").cast("double")))).first()[0]
+    scores, _, _ = Mo.best_cutoff(train, test, ["l_quantity", "l_discount"], "l_extendedprice", [0.0, float(total)])
+    return rounded(scores, "train_r2", "test_r2", digits=9)
+
+
+@query("M19 M18", f"""WITH {_PRICE_SUMS} SELECT est_int, round(b, 4) AS coefs, round(abs(b), 4) AS abs_coefs FROM (
+  SELECT unnest(['l_quantity', 'l_discount']) AS est_int, unnest([b1, b2]) AS b FROM lines WHERE n_features = 2)""")
+def price_coefficients(spark, folder):
+    train, test = _price_parts(spark, folder)
+    _, _, fit = Mo.train_linear(train, test, ["l_quantity", "l_discount"], "l_extendedprice")
+    return rounded(Mo.coefficient_table(spark, fit, fit.columns), "coefs", "abs_coefs", digits=4)
+
+
 SURVEY_FEATURES = ["HigherEd", "ConvertedComp", "Age", "WorkWeekHrs"]
 
 
