@@ -50,7 +50,8 @@ def test_explained_columns_get_no_weight(parts):
 def test_all_cutoffs_from_one_pass(spark, parts):
     train, test, names, x, y = parts
     totals = x.sum(0)
-    cutoffs = sorted(totals.tolist())[:-1]
+    ends = sorted(totals.tolist())
+    cutoffs = [(a + b) / 2 for a, b in zip(ends, ends[1:])]
     jobs = []
     for some in ([-1e18], [-1e18, *cutoffs]):
         spark.sparkContext.setJobGroup(f"sweep {len(some)}", "sweep")
