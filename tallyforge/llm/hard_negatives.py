@@ -32,11 +32,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import Scratch
-from .whole import LEAST, MOST, lengths, products
+from .whole import LEAST, MOST, floored, lengths, products
 
 #: More than the error of an angle worked out in doubles, also near 0 and the half turn.
 ANGLE_ERROR = 1e-6
-MOST_DOUBLE = 1.7e308
 #: Below all scores.
 NONE = LEAST - 1
 
@@ -55,13 +54,7 @@ def usable_rows(vectors: DataFrame, scale: int, id_column: str, vector_column: s
     rows = vectors.select(F.col(f"`{id_column}`").cast("long").alias("vec_id"), F.col(f"`{label_column}`").cast("string").alias("label"),
                           F.col(f"`{vector_column}`").alias("x"))
     return (rows.filter("vec_id IS NOT NULL AND label IS NOT NULL AND x IS NOT NULL").filter(usable)
-            .select("vec_id", "label", F.transform("x", lambda c: _floor(c, scale)).alias("v")).distinct())
-
-
-def _floor(component: Column, scale: int) -> Column:
-    held = F.greatest(F.least(component.cast("double") * scale, F.lit(MOST_DOUBLE)), F.lit(-MOST_DOUBLE))
-    # a long where it fits, as FLOOR gives; beyond it every double is whole
-    return F.when(F.abs(held) < 2.0**62, F.floor(held).cast("double")).otherwise(held) + F.lit(0.0)
+            .select("vec_id", "label", F.transform("x", lambda c: floored(c, scale)).alias("v")).distinct())
 
 
 def angles_to(rows: np.ndarray, directions: np.ndarray) -> np.ndarray:
@@ -274,7 +267,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = 5, ne
         place, "vec_id long, label string, v array<double>, row long, size double, angles array<double>, cell int, ring int")
         .withColumn("grp", F.pmod(F.xxhash64("label"), F.lit(label_groups)).cast("int")), "placed")
     same = Window.partitionBy("v", "label").orderBy("vec_id")
-    kept = placed.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= max(positives, negatives) + 1).drop("nth")
+    kept = scratch.keep(placed.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= max(positives, negatives) + 1).drop("nth"), "kept")
     cells = ["grp", "cell", "ring"]
     ends = [f(F.col("angles")[i]) for f in (F.min, F.max) for i in range(len(direction))]
     annuli = [(*r[:4], r[6:6 + len(direction)], r[6 + len(direction):], r[4], r[5]) for r in kept.groupBy(*cells).agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import mixing, pieces, secrets, toxicity
 from .common import table
@@ -29,9 +29,14 @@ WEIGHTS = {"domain": {"web": 3, "print": 1}, "lang": {"en": 4, "fr": 2, "de": 2,
 SHARE, EPOCHS, SEED = 0.6, 2, 7
 
 
-def with_domain(documents: DataFrame) -> DataFrame:
+def domain_of(source: str) -> Column:
     """Sources of even number count as web, the others as print."""
-    return documents.withColumn("domain", F.when(F.regexp_extract("source", r"(\d+)$", 1).cast("bigint") % 2 == 0, "web").otherwise("print"))
+    return F.when(F.regexp_extract(source, r"(\d+)$", 1).cast("bigint") % 2 == 0, "web").otherwise("print")
+
+
+def with_domain(documents: DataFrame) -> DataFrame:
+    """The documents with their ``domain``."""
+    return documents.withColumn("domain", domain_of("source"))
 
 
 def _mixing_sql() -> str:

@@ -39,8 +39,8 @@ VALUE = (r"(?:(?<=\")(?!\")[^\n]+?(?=(?<!\\)\")|(?<=')(?!')[^\n]+?(?=(?<!\\)')|[
 #: Groups of up to 60 characters each before and after a match; 60 characters may have 120 code units, the first one is not halved.
 BEFORE = r"(?<=((?![\uDC00-\uDFFF])(?:^[\s\S]{0,59}|[\s\S]{60,120})))"
 AFTER = r"(?=([\s\S]{0,60}))"
-#: Groups 1 to 3: before, candidate, after. Values are looked at only, as a name may stand in one.
-PLACES = (f"{START}{BEFORE}({RUN}){AFTER}", f"{DOTTED_START}{BEFORE}({DOTTED}){AFTER}", f"{VALUE_START}{BEFORE}(?=({VALUE}){AFTER})")
+#: Groups 1 to 3: before, candidate, after. A value is taken whole: names that stand in it start no values of their own.
+PLACES = (f"{START}{BEFORE}({RUN}){AFTER}", f"{DOTTED_START}{BEFORE}({DOTTED}){AFTER}", f"{VALUE_START}{BEFORE}({VALUE}){AFTER}")
 CANDIDATE = f"{START}|{DOTTED_START}|{VALUE_START}(?={VALUE})"
 KNOWN = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)$"
 NAMED = r"(?i)(passw(or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)[\"' ]{0,2}[=:][ \"']{0,3}$"

@@ -12,7 +12,8 @@ among the best, so a group of copies is reduced before it is placed. Scores are
 
 Defined cases: vectors that are null or hold null or non-finite components take no part; shorter vectors count as filled up
 with zeros; an empty vector is zero; equal rows count once; rows of the query's own id are no candidates; null ids take no
-part; equal scores go by smaller id; an empty table gives no rows; other columns are ignored.
+part; equal scores go by smaller id; components may be large: scores are exact and held at a long's ends; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,21 +24,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import Scratch
-
-EXACT = 2**53
+from .whole import LEAST, floored, products
 
 
 def whole_vectors(vectors: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
-    """vec_id, v: distinct usable rows, each component floor(scale * x)."""
+    """vec_id, v: distinct usable rows, each component floor(scale * x), a whole number in a double."""
     usable = F.forall(vector_column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     return (vectors.filter(F.col(vector_column).isNotNull() & F.col(id_column).isNotNull()).filter(usable)
             .select(F.col(id_column).cast("long").alias("vec_id"),
-                    F.transform(vector_column, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
+                    F.transform(vector_column, lambda x: floored(x, scale)).alias("v"))
             .distinct())
 
 
 def matrix(lists, width: int) -> np.ndarray:
-    """Rows as doubles, filled up with zeros. The values are whole and small enough to be exact."""
+    """Rows as doubles, filled up with zeros."""
     out = np.zeros((len(lists), width))
     for i, row in enumerate(lists):
         out[i, :len(row)] = row
@@ -56,8 +56,6 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 5, scale: int =
     sums = rows.agg(F.max(F.size("v")).alias("width"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)).alias("square"),
                     F.count_if(is_query).alias("queries")).first()
     width, longest, n_queries = sums["width"] or 0, sums["square"] or 0.0, sums["queries"]
-    if longest >= EXACT:
-        raise ValueError("the products of these vectors are not exact in doubles; use a smaller scale")
     same = Window.partitionBy("v").orderBy("vec_id")
     kept = rows.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= k + 1).drop("nth")
     centres = [r["v"] for r in rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(pivots).collect()]
@@ -81,7 +79,7 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 5, scale: int =
                 [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(m)), cell])],
                 names=["vec_id", "v", "cell", "distance"])
 
-    placed = scratch.keep(kept.mapInArrow(place, "vec_id long, v array<long>, cell int, distance double"), "placed")
+    placed = scratch.keep(kept.mapInArrow(place, "vec_id long, v array<double>, cell int, distance double"), "placed")
     far = {r["cell"]: r["far"] for r in placed.groupBy("cell").agg(F.max("distance").alias("far")).collect()}  # a row a pivot
     step = F.create_map(*[F.lit(x) for c, f in far.items() for x in (c, max(f, 1e-9) / rings)])[F.col("cell")]
     ringed = placed.withColumn("ring", F.least(F.lit(rings - 1), F.floor(F.col("distance") / step)).cast("int"))
@@ -112,7 +110,7 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 5, scale: int =
 
     queries = scratch.keep(
         rows.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-        .mapInArrow(bounds, "query_id long, q array<long>, annuli array<int>, limits array<double>"), "queries")
+        .mapInArrow(bounds, "query_id long, q array<double>, annuli array<int>, limits array<double>"), "queries")
 
     def scan(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """The k best of one block for one group of queries."""
@@ -121,12 +119,12 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 5, scale: int =
             return pd.DataFrame({n: pd.Series(dtype="int64") for n in names})
         right = right.sort_values("vec_id", kind="stable")
         ids, own = right["vec_id"].to_numpy(), left["query_id"].to_numpy()
-        scores = matrix(left["q"], width) @ matrix(right["v"], width).T
-        scores[own[:, None] == ids[None, :]] = -np.inf
-        top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+        scores = products(matrix(left["q"], width), matrix(right["v"], width))
+        scores[own[:, None] == ids[None, :]] = LEAST - 1  # below all scores
+        top = np.argsort(~scores, axis=1, kind="stable")[:, :k]  # ~x falls where x grows, and never overflows
         value = np.take_along_axis(scores, top, 1)
-        real = np.isfinite(value)
-        return pd.DataFrame({"query_id": np.repeat(own, real.sum(1)), "vec_id": ids[top][real], "score": value[real].astype(np.int64)})
+        real = value >= LEAST
+        return pd.DataFrame({"query_id": np.repeat(own, real.sum(1)), "vec_id": ids[top][real], "score": value[real]})
 
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = None

@@ -164,21 +164,20 @@ def fit(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text
     return OrdinalModel({w: float(weights[i]) for w, i in vocabulary.items()}, np.maximum.accumulate(moved).tolist())
 
 
-def score(documents: DataFrame, model: OrdinalModel, text_column: str = "text", reject_at: float = 0.5) -> DataFrame:
-    """The rows with ``expected_severity``, ``p_toxic`` and ``rejected`` (a grade above 0 has that probability or more)."""
-    text = new_name("text")
-    columns = [F.col(f"`{c}`") for c in documents.columns if c not in ("expected_severity", "p_toxic", "rejected")]
-    rows = documents.select(*columns, text_of(text_column).alias(text))
-    at = len(columns)
-
-    def run(batches):
-        for batch in batches:
-            found = [model.severity(t.as_py()) for t in batch.column(at)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:at], pa.array([round(e, 6) for e, _ in found], pa.float64()),
-                 pa.array([round(p, 6) for _, p in found], pa.float64()), pa.array([p >= reject_at for _, p in found], pa.bool_())],
-                names=[*batch.schema.names[:at], "expected_severity", "p_toxic", "rejected"])
+def score(documents: DataFrame, model: OrdinalModel, text_column: str = "text", reject_at: float = 0.5,
+          names: tuple[str, str, str] = ("expected_severity", "p_toxic", "rejected")) -> DataFrame:
+    """The rows with the expected severity, the probability of a grade above 0, and whether that is ``reject_at`` or more.
 
-    schema = rows.select(*rows.columns[:at], F.lit(0.0).alias("expected_severity"), F.lit(0.0).alias("p_toxic"),
-                         F.lit(False).alias("rejected")).schema
-    return rows.mapInArrow(run, schema)
+    The three columns have these ``names``; own columns of such a name are replaced, so take others to keep them. Only the texts go
+    through Python, and two numbers a text come back; all other columns stay where they are.
+    """
+    @F.arrow_udf("struct<severity:double,p:double>")
+    def judged(texts: pa.Array) -> pa.Array:
+        found = [model.severity(t.as_py()) for t in texts]
+        return pa.StructArray.from_arrays([pa.array([e for e, _ in found], pa.float64()), pa.array([p for _, p in found], pa.float64())], names=["severity", "p"])
+
+    at = new_name("judged")
+    columns = [F.col(f"`{c}`") for c in documents.columns if c not in names]
+    rows = documents.select(*columns, judged(text_of(text_column)).alias(at))
+    severity, p = F.col(at)["severity"], F.col(at)["p"]
+    return rows.select(*columns, F.round(severity, 6).alias(names[0]), F.round(p, 6).alias(names[1]), (p >= reject_at).alias(names[2]))

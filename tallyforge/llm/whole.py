@@ -3,12 +3,21 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import Column, functions as F
 
 #: Whole numbers up to here are exact in a double.
 EXACT = 2.0**53
+MOST_DOUBLE = 1.7e308
 LEAST, MOST = -(2**63 - 1), 2**63 - 1
 
 
+def floored(component: Column, scale: int) -> Column:
+    """floor(scale * x) as a whole number in a double; what is beyond a double's range is held near its ends."""
+    held = F.greatest(F.least(component.cast("double") * scale, F.lit(MOST_DOUBLE)), F.lit(-MOST_DOUBLE))
+    # a long where it fits, as FLOOR gives; beyond it every double is whole
+    return F.when(F.abs(held) < 2.0**62, F.floor(held).cast("double")).otherwise(held)
+
+
 def lengths(rows: np.ndarray) -> np.ndarray:
     """Euclidean lengths, without overflow in between."""
     top = np.abs(rows).max(1, initial=0.0)

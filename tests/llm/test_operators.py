@@ -349,6 +349,40 @@ def test_pipeline_stages(spark):
     assert not docs.filter(docs.text.rlike("AKIA[0-9A-Z]{16}")).count()
 
 
+def test_large_components_of_products(spark):
+    rows = [(i * 10, [1e9 * (1 + i % 3), float(i), -2.0]) for i in range(12)] + [(7, [1e9, 1.0]), (8, [-3e8, 2.0, 1.0]), (9, [0.5])]
+    found = topk.top_products(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0)
+    whole = {i: [int(256 * x) for x in v] + [0] * (3 - len(v)) for i, v in rows}
+    want = []
+    for q in (i for i in whole if i % 10 == 0):
+        best = sorted((-min(2**63 - 1, max(1 - 2**63, sum(a * b for a, b in zip(whole[q], v)))), i) for i, v in whole.items() if i != q)[:5]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
+def test_a_megabyte_of_credential_names(spark):
+    line = "token=" * 170_000
+    docs = spark.createDataFrame([(1, line), (2, "password=hunter2 token=hunter3")], "doc_id long, text string")
+    found = secrets.findings(docs).collect()
+    assert len([r for r in found if r.doc_id == 1]) == 1 and sum(len(r.candidate) for r in found) < 1.1 * len(line)
+    assert {r.candidate for r in found if r.doc_id == 2} == {"hunter2", "hunter3"}
+
+
+def test_pipeline_keeps_columns_of_any_name(spark, monkeypatch):
+    """Columns that stages make for themselves do not meet the table's own, and null ids, texts and an empty table come through."""
+    names = ["rejected", "p_toxic", "domain", "copy", "copies", "n_tokens", "slice", "key", "order"]
+    rows = [(i, f"text {i} with a few plain words " * (1 + i % 4), "en", f"src{i % 4}") for i in range(40)] + [(None, "no id at all here", "fr", None), (99, None, None, "src1")]
+    docs = spark.createDataFrame([(*r, *[f"own {n}" for n in names]) for r in rows], "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    for table_ in (docs, docs.limit(0)):
+        kept = table_
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = common.Scratch(spark, "names").keep(stage(spark, kept, FOLDER), name)
+            assert kept.columns == docs.columns
+        found = kept.collect()
+        assert all(r[n] == f"own {n}" for r in found for n in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() == docs.count()
+
+
 def test_entry_works_without_this_part():
     code = ("import sys; sys.modules['tallyforge.llm'] = None; import __spark_entry__ as e; "
             "assert e.queries() and not [q for q in e.queries() if re.match('op[0-9]|pipeline', q)]")
