@@ -12,9 +12,11 @@ MIX_SHARE, MIX_EPOCHS = 0.8, 1
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that are toxic with a probability of a half or more. Columns stay; null texts stay."""
+    """Without the documents that are toxic with a probability of a half or more. Columns stay, whatever their names; null texts stay;
+    repeated rows are judged each; an empty table stays empty."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter(~F.col("rejected")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = tuple(new_name(c) for c in ("severity", "p", "rejected"))
+    return toxicity.score(docs, model, names=names).filter(~F.col(names[2])).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,26 +38,34 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the secrets in their texts replaced by a mark."""
+    """All documents, with the secrets in their texts replaced by a mark. Null texts stay null; rows of one id are searched together,
+    and each of them is cleaned; an empty table stays empty; other columns stay, whatever their names."""
     found = Scratch(spark, "secret-stage").keep(secrets.scan(docs), "findings")
     return secrets.redacted(docs, found)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the target mix, as often as they are taken."""
-    rows = q_filters.with_domain(docs)
-    units = rows.select("doc_id", *q_filters.LEVELS, mixing.n_words(F.col("text")).alias("n_tokens"))
+    """The documents of the target mix, as often as they are taken.
+
+    Rows of one id, domain, language and source are one unit and go together; null ids, languages and sources are values of their own;
+    texts without words, null ones included, have no tokens and are not taken; ties go by the seeded key, then id; an empty table stays empty;
+    other columns stay, whatever their names.
+    """
+    units = q_filters.with_domain(docs.select("doc_id", "text", "lang", "source"))
+    units = units.select("doc_id", *q_filters.LEVELS, mixing.n_words(F.col("text")).alias("n_tokens"))
     taken = mixing.mixed(units, q_filters.LEVELS, q_filters.WEIGHTS, MIX_SHARE, MIX_EPOCHS, q_filters.SEED).filter("copies > 0")
-    taken = taken.select(*[F.col(c).alias(f"taken_{c}") for c in ("doc_id", *q_filters.LEVELS)], "copies")
-    match = F.lit(True)
-    for c in ("doc_id", *q_filters.LEVELS):
-        match = match & F.col(c).eqNullSafe(F.col(f"taken_{c}"))
-    return (rows.join(taken, match).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    keys, copies, domain = {c: new_name(c) for c in ("doc_id", *q_filters.LEVELS)}, new_name("copies"), new_name("domain")
+    taken = taken.select(*[F.col(c).alias(name) for c, name in keys.items()], F.col("copies").alias(copies))
+    rows, match = docs.withColumn(domain, q_filters.domain_of("source")), F.lit(True)
+    for c, name in keys.items():
+        match = match & F.col(domain if c == "domain" else c).eqNullSafe(F.col(name))
+    return (rows.join(taken, match).withColumn(new_name("copy"), F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids and n_words of each document."""
+    """doc_id, ids and n_words of each document, beside its other columns. Null texts have no words; repeated rows are encoded each; an
+    empty table stays empty."""
     return pieces.encode(docs, pieces.load_pieces())
 
 
@@ -75,6 +85,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch, docs = Scratch(spark, "pipeline"), table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = scratch.keep(stage(spark, docs, sf_dir), name)
-        if i > 1:
+        if i:
             scratch.drop(STAGES[i - 1][0])
     return docs
