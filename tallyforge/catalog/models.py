@@ -24,7 +24,7 @@ from ..ml.kernel import kernel_svm, scale_gamma
 from ..operators import labels as L
 from ..plans.churn import churn_scores
 from ..plans.income import census_features
-from ..plans.messages import message_model
+from ..plans.messages import message_grid as message_settings, message_model
 from ..plans.survey import modelling_split, modelling_table, with_flags
 from ..sources.models import load_model, save_model
 from ..streaming.scoring import link_stream, score_stream
@@ -191,7 +191,7 @@ def label_models_on_tf_idf(spark, folder):
 def label_models_on_hashed_terms(spark, folder):
     train, test = message_parts(spark, folder)
     base = LinearSVC(maxIter=10, regParam=0.01)
-    return _message_report(message_model(base, LABELS[:2], hashed=True, buckets=1 << 18).fit(train), test, LABELS[:2])
+    return _message_report(message_model(base, LABELS[:3], hashed=True, buckets=1 << 18).fit(train), test, LABELS[:3])
 
 
 @query("M15 M17 T5")
@@ -306,11 +306,10 @@ def boosting_grid(spark, folder):
 @query("M21 M17")
 def message_grid(spark, folder):
     train, _ = message_parts(spark, folder)
-    base = LogisticRegression(maxIter=5)
-    pipeline = message_model(base, LABELS[:2])
-    terms, counts = pipeline.getStages()[:2]
-    grid = [{terms.ngrams: n, counts.maxDF: d, counts.vocabSize: v} for n, d, v in [(1, 0.8, 2000), (2, 1.0, 10_000)]]
-    return Tu.grid_search(pipeline, grid, Mo.AllLabelsRight(LABELS[:2]), train, "id", folds=3, parallelism=2)[1]
+    base = NaiveBayes()
+    pipeline = message_model(base, LABELS[:3], parallelism=1)
+    settings = message_settings(pipeline, {base.smoothing: (0.1, 1.0)})
+    return Tu.grid_search(pipeline, settings, Mo.AllLabelsRight(LABELS[:3]), train, "id", folds=3, parallelism=8)[1]
 
 
 @query("M22")

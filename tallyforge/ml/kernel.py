@@ -5,13 +5,15 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
-from pyspark.ml import Pipeline, Transformer
-from pyspark.ml.classification import LinearSVC
+from pyspark.ml import Estimator, Model, Pipeline, Transformer
+from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.param.shared import HasFeaturesCol, HasInputCol, HasLabelCol, HasOutputCol, HasPredictionCol, HasRawPredictionCol
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter,
+)
 from pyspark.sql import DataFrame, functions as F
 
 MAX_PROJECTION = 64_000_000  # doubles: the random matrix every Python worker holds
@@ -53,23 +55,23 @@ def _projector(gamma: float, dimensions: int, seed: int):
 
     @F.pandas_udf("array<double>")
     def project(v: pd.DataFrame) -> pd.Series:
-        out = []
-        for start in range(0, len(v), ROWS_AT_ONCE):
-            out.extend(_project_rows(v.iloc[start:start + ROWS_AT_ONCE], matrix, dimensions))
-        return pd.Series(out, index=v.index)
+        out = [project_block(v.iloc[i:i + ROWS_AT_ONCE], matrix, dimensions) for i in range(0, len(v), ROWS_AT_ONCE)]
+        return pd.Series([row for block in out for row in block], index=v.index)
 
     return project
 
 
-def _project_rows(part: pd.DataFrame, matrix, dimensions: int) -> list[np.ndarray]:
-    """Sparse rows touch only the matrix rows of their non-zero entries."""
-    rows = []
-    for kind, size, indices, values in zip(part["type"], part["size"], part["indices"], part["values"]):
-        x = np.asarray(values, dtype=float)
-        weights, shift = matrix(int(size) if kind == 0 else len(x))
-        projected = x @ (weights[np.asarray(indices, dtype=int)] if kind == 0 else weights) + shift
-        rows.append(np.sqrt(2.0 / dimensions) * np.cos(projected))
-    return rows
+def project_block(part: pd.DataFrame, matrix, dimensions: int) -> np.ndarray:
+    """One product for all rows of a block, over the columns that any of them has; vectors of one block are of one size."""
+    dense = part["type"].to_numpy() == 1
+    values = [np.asarray(v, dtype=float) for v in part["values"]]
+    places = [np.arange(len(v)) if full else np.asarray(at, dtype=np.int64) for full, v, at in zip(dense, values, part["indices"])]
+    size = len(values[0]) if dense[0] else int(part["size"].iloc[0])
+    weights, shift = matrix(size)
+    used, at = np.unique(np.concatenate(places), return_inverse=True)
+    block = np.zeros((len(part), len(used)))
+    block[np.repeat(np.arange(len(part)), [len(v) for v in values]), at] = np.concatenate(values)
+    return np.sqrt(2.0 / dimensions) * np.cos(block @ weights[used] + shift)
 
 
 def scale_gamma(df: DataFrame, features: str = "features") -> float:
@@ -91,3 +93,84 @@ def kernel_svm(
         RandomFourierFeatures(inputCol=features, outputCol="fourier", gamma=gamma, dimensions=dimensions, seed=seed),
         LinearSVC(featuresCol="fourier", labelCol=label, regParam=1.0 / (c * n_rows), maxIter=max_iter),
     ])
+
+
+class _KernelParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRawPredictionCol):
+    gamma = Param(Params._dummy(), "gamma", "kernel width; 0 for 1 / (number of features * variance of all entries)", TypeConverters.toFloat)
+    c = Param(Params._dummy(), "c", "weight of the margin's violations", TypeConverters.toFloat)
+    dimensions = Param(Params._dummy(), "dimensions", "number of random features", TypeConverters.toInt)
+    maxIter = Param(Params._dummy(), "maxIter", "largest number of iterations", TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "seed of the random matrix", TypeConverters.toInt)
+
+    def _set_defaults(self):
+        self._setDefault(gamma=0.0, c=1.0, dimensions=256, maxIter=100, seed=42)
+
+
+class KernelSVM(Estimator, _KernelParams, DefaultParamsReadable, DefaultParamsWritable):
+    """RBF-kernel classifier of two classes: random Fourier features and a linear SVM on them.
+
+    It takes the features as they are, so it may be the base of one model a label or a stage of a grid over ``gamma`` and ``c``.
+    Rows without a label are left out; a table of one class gives that class, as the linear SVM does.
+    """
+
+    @keyword_only
+    def __init__(self, *, featuresCol="features", labelCol="label", gamma=0.0, c=1.0, dimensions=256, maxIter=100, seed=42):
+        super().__init__()
+        self._set_defaults()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> "KernelSVMModel":
+        features, label = self.getFeaturesCol(), self.getLabelCol()
+        rows = dataset.select(F.col(f"`{features}`").alias("features"), F.col(f"`{label}`").cast("double").alias("label")).filter("label IS NOT NULL")
+        n, gamma = rows.count(), self.getOrDefault(self.gamma) or scale_gamma(rows)
+        fourier = RandomFourierFeatures(gamma=gamma, dimensions=self.getOrDefault(self.dimensions), seed=self.getOrDefault(self.seed))
+        linear = LinearSVC(featuresCol="fourier", regParam=1.0 / (self.getOrDefault(self.c) * max(1, n)), maxIter=self.getOrDefault(self.maxIter))
+        return self._copyValues(KernelSVMModel(linear.fit(fourier.transform(rows).select("fourier", "label")), gamma))
+
+
+class KernelSVMModel(Model, _KernelParams, MLReadable, MLWritable):
+    """The linear model over the random features. They follow from ``fitted_gamma``, ``dimensions`` and ``seed``, which are stored."""
+
+    def __init__(self, linear: LinearSVCModel, fitted_gamma: float):
+        super().__init__()
+        self._set_defaults()
+        self.linear, self.fitted_gamma = linear, fitted_gamma
+
+    def copy(self, extra=None):
+        that = super().copy(extra)
+        that.linear, that.fitted_gamma = self.linear, self.fitted_gamma
+        return that
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        fourier = RandomFourierFeatures(
+            inputCol=self.getFeaturesCol(), outputCol="_fourier", gamma=self.fitted_gamma,
+            dimensions=self.getOrDefault(self.dimensions), seed=self.getOrDefault(self.seed))
+        linear = self.linear.copy()
+        linear.setFeaturesCol("_fourier").setPredictionCol(self.getPredictionCol()).setRawPredictionCol(self.getRawPredictionCol())
+        return linear.transform(fourier.transform(dataset)).drop("_fourier")
+
+    def write(self):
+        return _KernelWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _KernelReader()
+
+
+class _KernelWriter(MLWriter):
+    def __init__(self, model: KernelSVMModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession, {"fitted_gamma": self.model.fitted_gamma})
+        self.model.linear.write().save(f"{path}/linear")
+
+
+class _KernelReader(MLReader):
+    def load(self, path: str) -> KernelSVMModel:
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = KernelSVMModel(LinearSVCModel.load(f"{path}/linear"), meta["fitted_gamma"])
+        model._resetUid(meta["uid"])
+        DefaultParamsReader.getAndSetParams(model, meta)
+        return model

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
-
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..schemas import numeric_columns, text_columns
 
@@ -305,18 +306,61 @@ def pearson(a: Column, b: Column) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
+#: A spread below this share of the mean square counts as none: it is what rounding leaves of a constant.
+NO_SPREAD = 1e-13
+#: Numbers that a task holds as sums of pairs before it hands them on.
+PAIR_SUMS = 1 << 23
+
+
 def correlations(df: DataFrame, columns: list[str] | None = None, by: str | None = None) -> DataFrame:
     """(a, b, r) for a <= b in column order, each pair over its own complete rows; null without spread.
 
-    One scan whatever the number of pairs. Pairs become rows before they are aggregated: one
-    aggregate for all pairs side by side soon has more fields than generated code takes, and
-    only a few numbers a pair and task are shuffled either way.
+    A row stays one row up to the aggregate: a task multiplies batches of rows at a time, values beside masks of what is there, and
+    hands on five sums a pair and group. Values are taken from their column's mean, read once before, so little is lost where means
+    are large. Groups (``by``) may be many: a task hands its sums on whenever they reach a fixed size.
     """
     columns = columns or [c for c in numeric_columns(df) if c != by]
-    clean = {c: F.when(~missing(df, c), _q(c).cast("double")) for c in columns}
-    pairs = F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), clean[a].alias("x"), clean[b].alias("y"))
-        for a, b in combinations_with_replacement(columns, 2)
-    ])
-    keys = [_q(by)] if by else []
-    return df.select(*keys, F.inline(pairs)).groupBy(*keys, "a", "b").agg(pearson(F.col("x"), F.col("y")).alias("r"))
+    d, clean = len(columns), {c: F.when(~missing(df, c), _q(c).cast("double")) for c in columns}
+    kind = df.schema[by].dataType if by else T.IntegerType()
+    means = df.agg(F.struct(*[F.coalesce(F.avg(clean[c]), F.lit(0.0)).alias(f"m{i}") for i, c in enumerate(columns)]))
+    rows = beside(df, "_means", means).select(
+        (_q(by) if by else F.lit(0)).alias("by"), *[(clean[c] - F.col("_means")[f"m{i}"]).alias(f"x{i}") for i, c in enumerate(columns)])
+    first, second = np.triu_indices(d)
+
+    def sums(batches):
+        held = {}
+        for batch in batches:
+            coded = batch.column(0).dictionary_encode(null_encoding="encode")
+            code, groups = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+            x = np.stack([batch.column(i + 1).cast(pa.float64()).to_numpy(zero_copy_only=False) for i in range(d)], 1)
+            order = np.argsort(code, kind="stable")
+            for group, part in zip(groups, np.split(order, np.cumsum(np.bincount(code, minlength=len(groups)))[:-1])):
+                there = ~np.isnan(x[part])
+                v, there = np.where(there, x[part], 0.0), there.astype(float)
+                one, squares = v.T @ there, (v * v).T @ there
+                found = np.stack([(there.T @ there)[first, second], one[first, second], one[second, first],
+                                  squares[first, second], squares[second, first], (v.T @ v)[first, second]])
+                held[group] = held[group] + found if group in held else found
+                if len(held) * found.size > PAIR_SUMS:
+                    yield from handed_on(held)
+                    held = {}
+        yield from handed_on(held)
+
+    def handed_on(held):
+        for group, found in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([group] * len(first), to_arrow_type(kind)), pa.array(first.astype(np.int32)), pa.array(second.astype(np.int32)), *map(pa.array, found)],
+                names=["by", "i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    fields = [T.StructField("by", kind), T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType())]
+    numbers = ["n", "x", "y", "xx", "yy", "xy"]
+    schema = T.StructType(fields + [T.StructField(c, T.DoubleType()) for c in numbers])
+    total = rows.mapInArrow(sums, schema).groupBy("by", "i", "j").agg(*[F.sum(c).alias(c) for c in numbers])
+
+    def spread(one: str, square: str) -> Column:
+        left = F.col(square) - F.try_divide(F.col(one) * F.col(one), F.col("n"))
+        return F.when(left > F.col(square) * NO_SPREAD, left)
+
+    r = F.try_divide(F.col("xy") - F.try_divide(F.col("x") * F.col("y"), F.col("n")), F.sqrt(spread("x", "xx")) * F.sqrt(spread("y", "yy")))
+    names = F.array(*[F.lit(c) for c in columns])
+    return total.select(*([F.col("by").alias(by)] if by else []), F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), r.alias("r"))
