@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline, Transformer
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -78,14 +78,14 @@ class Shift(Transformer):
 
 
 def test_a_search_without_a_pipeline_and_equal_settings(spark, circles):
-    svm = LinearSVC(maxIter=3)
-    grid = [{svm.regParam: 0.1}, {svm.regParam: 0.1}, {svm.regParam: 1.0}]
+    bayes = NaiveBayes(modelType="gaussian")
+    grid = [{bayes.smoothing: 0.1}, {bayes.smoothing: 0.1}, {bayes.smoothing: 1.0}]
     evaluator = BinaryClassificationEvaluator()
-    _, table, best = Tu.grid_search(svm, grid, evaluator, circles, "id", folds=2)
+    _, table, best = Tu.grid_search(bayes, grid, evaluator, circles, "id", folds=2)
     scores = [r.mean_score for r in table.orderBy("setting").collect()]
-    assert scores[0] == scores[1] and scores == pytest.approx(plain_search(svm, grid, evaluator, circles, 2))
-    pipeline = Pipeline(stages=[Shift(), svm])
-    assert Tu.grid_search(pipeline, grid, evaluator, circles, "id", folds=2)[2] == best
+    assert scores[0] == scores[1] and scores[2:] == pytest.approx(plain_search(bayes, grid[2:], evaluator, circles, 2))
+    assert best == grid[0]
+    assert Tu.grid_search(Pipeline(stages=[Shift(), bayes]), grid, evaluator, circles, "id", folds=2)[2] == best
 
 
 def share_right(rows, label="label", prediction="prediction"):
