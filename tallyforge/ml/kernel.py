@@ -110,7 +110,7 @@ class KernelSVM(Estimator, _KernelParams, DefaultParamsReadable, DefaultParamsWr
     """RBF-kernel classifier of two classes: random Fourier features and a linear SVM on them.
 
     It takes the features as they are, so it may be the base of one model a label or a stage of a grid over ``gamma`` and ``c``.
-    Rows without a label are left out; a table of one class gives that class, as the linear SVM does.
+    Rows without a label are left out of the fit.
     """
 
     @keyword_only
