@@ -54,18 +54,21 @@ def shingle_set(text: str | None, width: int = 2) -> np.ndarray:
 
 
 def fast_sketch(elements: np.ndarray, coordinates: int) -> np.ndarray:
-    """The sketch of a set that is not empty."""
-    empty = np.uint64(0xFFFFFFFFFFFFFFFF)
+    """The sketch of a set that is not empty. Small sets do several rounds at once: a bin that an earlier round fills keeps its value."""
+    empty, turn = np.uint64(0xFFFFFFFFFFFFFFFF), 0
     bins = np.full(coordinates, empty)
-    for turn in range(2 * coordinates):
-        x = mix(elements + np.uint64((turn + 1) * ODD[0] % 2**64))
-        value = np.uint64(turn << 54) | ((x & np.uint64(0xFFFFFFFF)) << np.uint64(22))
-        if turn < coordinates:
-            np.minimum.at(bins, ((x >> np.uint64(32)) % np.uint64(coordinates)).astype(np.int64), value)
-        else:
-            bins[turn - coordinates] = min(bins[turn - coordinates], value.min())
-        if not (bins == empty).any():
-            break
+
+    def thrown(turns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = mix(elements + ((turns + np.uint64(1)) * np.uint64(ODD[0]))[:, None])
+        return x, (turns << np.uint64(54))[:, None] | ((x & np.uint64(0xFFFFFFFF)) << np.uint64(22))
+
+    while turn < coordinates and (bins == empty).any():
+        turns = np.arange(turn, min(coordinates, turn + max(1, 8 * coordinates // len(elements))), dtype=np.uint64)
+        x, value = thrown(turns)
+        np.minimum.at(bins, ((x >> np.uint64(32)) % np.uint64(coordinates)).astype(np.int64).ravel(), value.ravel())
+        turn += len(turns)
+    for bin_ in np.flatnonzero(bins == empty):
+        bins[bin_] = thrown(np.array([coordinates + bin_], np.uint64))[1].min()
     return bins
 
 
