@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import types
 import uuid
@@ -36,6 +37,17 @@ def shares(totals: dict, most: int) -> dict:
     return taken
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A setting of the session that holds for what runs within, and is then as it was."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 class Scratch:
     """Tables written once under ``spark.checkpoint.dir``, read back from there, dropped when they are no longer needed."""
 
@@ -48,12 +60,8 @@ class Scratch:
 
         Spark drops the shuffle files of the write when it has ended: only the table is read again.
         """
-        before = self.spark.conf.get(CLEANUP, None)
-        self.spark.conf.set(CLEANUP, "true")
-        try:
+        with setting(self.spark, CLEANUP, "true"):
             df.write.mode("error").parquet(f"{self.root}/{name}")
-        finally:
-            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:

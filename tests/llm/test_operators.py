@@ -246,6 +246,34 @@ def test_pieces_follow_the_library(spark, docs, none):
     assert pieces.encode(none, table, check=True).collect() == []
 
 
+def test_pieces_in_use_and_cuts_change_no_path(spark):
+    rng = random.Random(4)
+    table = pieces.load_pieces()
+    assert len(table.in_use) < len(table.pieces) / 2
+
+    def best(text):  # all pieces, no cuts; of equal scores the longer last piece
+        scores, longest = {p: (s, i) for p, i, s in table.pieces}, max(len(p) for p, _, _ in table.pieces)
+        ways = [(0.0, 0, [])]
+        for end in range(1, len(text) + 1):
+            found = []
+            for start in range(max(0, end - longest), end):
+                piece = text[start:end]
+                if piece in scores:
+                    found.append((ways[start][0] + scores[piece][0], -start, ways[start][2] + [scores[piece][1]]))
+                elif end - start == 1:
+                    found.append((ways[start][0] + table.unknown_score, -start, ways[start][2] + [table.byte_ids[b] for b in piece.encode()]))
+            ways.append(max(found, key=lambda w: w[:2]))
+        return ways[-1][2]
+
+    inside = [p.replace("▁", " ") for p, _, _ in table.pieces]
+    texts = ["".join(rng.choice(inside) for _ in range(rng.randint(1, 40))) for _ in range(150)]
+    texts += ["".join(rng.choice("ab the.,1\n  é漢\U0001f600") for _ in range(60)) for _ in range(50)] + ["a" * 700, "7" * 30000, " " * 300, "漢字" * 9000]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pieces.encode(rows, table, cached_words=20, check=True).collect()}
+    for i, t in enumerate(texts):
+        assert got[i].decodes and list(got[i].ids) == best("▁" + t.replace(" ", "▁")), t[:80]
+
+
 def test_toxicity_held_out(spark, none):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
