@@ -32,9 +32,9 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @llm_query()
 def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes of all documents that strings of 400 bytes cover which occur again."""
+    """Bytes of all documents that strings of 400 bytes cover which occur again; ``has_repeats`` tells whether a document has any."""
     found = suffix_dedup.removed_bytes(table(spark, sf_dir, "documents"), length=400)
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("has_repeats"))
 
 
 OP4_SQL = """
