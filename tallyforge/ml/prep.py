@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import in_share
 from ..operators.profile import _q, beside
+from ..workspace import keep
 
 
 def vector_scaler(columns: list[str], out: str = "features") -> Pipeline:
@@ -23,7 +24,9 @@ def vector_scaler(columns: list[str], out: str = "features") -> Pipeline:
 
 
 def scale_features(df: DataFrame, label: str = "churn", key: str = "userId") -> tuple[DataFrame, PipelineModel]:
-    """All columns but key and label as one scaled vector, with a double ``label``."""
+    """All columns but key and label as one scaled vector, with a double ``label``. The rows are written once: the fit, those of later
+    steps and the result read them, and what made them is not done again."""
+    df = keep(df, "features")
     columns = [c for c in df.columns if c not in (key, label)]
     model = vector_scaler(columns).fit(df)
     return model.transform(df.withColumn("label", _q(label).cast("double"))), model
