@@ -15,9 +15,12 @@ def top_indices(model: Model, top: int = 5) -> list[int]:
 
 
 def compare_with_top_features(
-    estimator: Estimator, ranking: Model, train: DataFrame, test: DataFrame, top: int = 5
+    estimator: Estimator, ranking: Model, train: DataFrame, test: DataFrame, top: int = 5, fitted: bool = False,
 ) -> DataFrame:
-    """(features_used, accuracy, f_beta) of one model on all features and on the ``top`` ones."""
+    """(features_used, accuracy, f_beta) of one model on all features and on the ``top`` ones.
+
+    With ``fitted`` the ranking is the estimator's own fit of ``train``: it is scored as it is and not fitted once more.
+    """
     features = estimator.getFeaturesCol()
     reduced = Pipeline(stages=[
         VectorSlicer(inputCol=features, outputCol="_top", indices=top_indices(ranking, top)),
@@ -25,6 +28,7 @@ def compare_with_top_features(
     ])
     rows = []
     for name, e in (("all", estimator), (f"top{top}", reduced)):
-        s = binary_scores(e.fit(train).transform(test)).first()
+        model = ranking if fitted and e is estimator else e.fit(train)
+        s = binary_scores(model.transform(test)).first()
         rows.append((name, s.accuracy, s.f_beta))
     return train.sparkSession.createDataFrame(rows, "features_used string, accuracy double, f_beta double")
