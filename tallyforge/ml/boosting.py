@@ -32,7 +32,7 @@ class _BoostParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRawPredicti
 class AdaBoostClassifier(Estimator, _BoostParams):
     """Each round fits a weighted tree and raises the weight of the rows it gets wrong.
 
-    The weighted rows are cached between rounds and checkpointed every ``checkpointInterval``
+    The scored rows are cached between rounds and checkpointed every ``checkpointInterval``
     rounds, so a round costs one tree and a lost executor costs a few rounds, not all.
     """
 
@@ -55,15 +55,18 @@ class AdaBoostClassifier(Estimator, _BoostParams):
         learner = DecisionTreeClassifier(
             maxDepth=self.getOrDefault(self.maxDepth), weightCol="w", seed=self.getOrDefault(self.seed)
         )
-        trees, alphas, done = [], [], None
+        trees, alphas, done = [], [], rows  # done: what the rows are read from
         for turn in range(1, self.getOrDefault(self.rounds) + 1):
             tree = learner.fit(rows)
-            scored = tree.transform(rows)
-            wrong = (F.col("prediction") != F.col("label")).cast("double")
+            # The tree is applied once to each row: the new weights follow from what is cached here.
+            wrong, margin = F.col("wrong"), F.col("margin")
+            scored = tree.transform(rows).select(
+                "features", "label", "w", (F.col("prediction") != F.col("label")).cast("double").alias("wrong"),
+                (_margin(classes) if algorithm == "SAMME.R" else F.lit(0.0)).alias("margin")).persist(StorageLevel.MEMORY_AND_DISK)
             lost, total = scored.agg(F.sum(F.col("w") * wrong), F.sum("w")).first()
             error = lost / total
-            if done is not None:  # the fit above has filled this round's cache
-                done.unpersist()
+            done.unpersist()
+            done = scored
             if error <= 0:
                 trees, alphas = trees + [tree], alphas + [1.0]
                 break
@@ -74,17 +77,12 @@ class AdaBoostClassifier(Estimator, _BoostParams):
                 factor = F.exp(alpha * wrong)
             else:
                 alpha = 1.0
-                factor = F.exp(-rate * (classes - 1) / classes * _margin(classes))
+                factor = F.exp(-rate * (classes - 1) / classes * margin)
             trees, alphas = trees + [tree], alphas + [alpha]
-            later = scored.select("features", "label", (F.col("w") * factor * (n / total)).alias("w"))
-            later = later.persist(StorageLevel.MEMORY_AND_DISK)
+            rows = scored.select("features", "label", (F.col("w") * factor * (n / total)).alias("w"))
             if turn % self.getOrDefault(self.checkpointInterval) == 0:
-                cached, later = later, cut_lineage(later)
-                cached.unpersist()
-            done, rows = rows, later
-        rows.unpersist()
-        if done is not None:
-            done.unpersist()
+                rows = cut_lineage(rows)
+        done.unpersist()
         if not trees:
             raise ValueError("the first tree is no better than chance")
         return self._copyValues(AdaBoostModel(trees, alphas, classes))

@@ -1,9 +1,15 @@
 import numpy as np
 import pytest
-from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from tallyforge.functions.text import tally
 from tallyforge.ml import models as Mo
+from tallyforge.ml import neighbours as N
+from tallyforge.ml import prep as Pr
+from tallyforge.ml import selection as Se
 from tallyforge.ml import tune as Tu
 from tallyforge.ml.bayesgrid import bayes_grid
 from tallyforge.operators import textfeatures as T
@@ -51,3 +57,45 @@ def test_tally_counts_inside_the_row(spark):
 def test_documents_are_spread_by_their_number(spark):
     df = spark.range(3 * T.DOCUMENTS_A_TASK + 1)
     assert T.placed_by(df, "id").rdd.getNumPartitions() == 4
+
+
+def test_blocks_of_an_index_grow_with_the_base_up_to_a_limit(spark):
+    assert [N._block_size(n, 64) for n in (10, 40_000, 100_000, 10**7)] == [4096, 5000, 12_500, 32_768]
+    assert N._block_size(10**7, 1000) == 4096
+    base = spark.range(40_000).select("id", F.array(F.rand(1), F.rand(2)).alias("vector"))
+    assert N.build_index(base).block == 5000
+
+
+def test_label_models_read_as_many_parts_as_cores(spark, monkeypatch):
+    seen = []
+    real = Mo.PerLabelClassifier._fit_rows
+    monkeypatch.setattr(Mo.PerLabelClassifier, "_fit_rows", lambda self, r, f: seen.append(r.rdd.getNumPartitions()) or real(self, r, f))
+    table = spark.createDataFrame([(Vectors.dense(float(i % 3), 1.0), i % 2) for i in range(60)], ["features", "a"])
+    Mo.PerLabelClassifier(NaiveBayes(), ["a"]).fit(table.repartition(50))
+    assert seen == [spark.sparkContext.defaultParallelism]
+
+
+def test_scaled_features_do_not_read_their_source_again(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def costly(x):
+        calls.add(1)
+        return float(x)
+
+    scaled, _ = Pr.scale_features(spark.range(20).select("id", costly("id").alias("x"), (F.col("id") % 2).alias("churn")), key="id")
+    Pr.fit_components(scaled)
+    assert scaled.count() == 20 and calls.value == 20
+
+
+def test_a_fitted_ranking_is_scored_and_a_grid_may_go_without_a_last_fit(spark, monkeypatch):
+    table = spark.createDataFrame([(i, Vectors.dense(float(i % 7), float(i % 2)), float(i % 2)) for i in range(80)], ["id", "features", "label"])
+    forest = RandomForestClassifier(seed=1, numTrees=3)
+    model, fits = forest.fit(table), []
+    want = Se.compare_with_top_features(forest, model, table, table, 1).collect()
+    real = RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, rows: fits.append(1) or real(self, rows))
+    assert Se.compare_with_top_features(forest, model, table, table, 1, fitted=True).collect() == want and len(fits) == 1
+    fits.clear()
+    found = Tu.grid_search(forest, [{forest.maxDepth: 1}, {forest.maxDepth: 2}], BinaryClassificationEvaluator(), table, "id", folds=2, refit=False)
+    assert found[0] is None and len(fits) == 4
