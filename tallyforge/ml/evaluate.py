@@ -48,16 +48,19 @@ def class_metrics(predictions: DataFrame, label: str = "label", prediction: str
     )
 
 
-def binary_cells(y: Column, p: Column) -> dict[str, Column]:
+def binary_cells(y: Column, p: Column, weight: Column | None = None) -> dict[str, Column]:
+    def count(cell: Column) -> Column:
+        return F.count_if(cell) if weight is None else F.coalesce(F.sum(F.when(cell, weight)), F.lit(0))
+
     return {
-        "tp": F.count_if((y == 1) & (p == 1)), "fp": F.count_if((y == 0) & (p == 1)),
-        "fn": F.count_if((y == 1) & (p == 0)), "tn": F.count_if((y == 0) & (p == 0)),
+        "tp": count((y == 1) & (p == 1)), "fp": count((y == 0) & (p == 1)),
+        "fn": count((y == 1) & (p == 0)), "tn": count((y == 0) & (p == 0)),
     }
 
 
-def binary_scores(df: DataFrame, beta: float = 0.5, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row: accuracy, precision, recall and F-beta of class 1."""
-    cells = df.agg(*[c.alias(n) for n, c in binary_cells(_q(label), _q(prediction)).items()])
+def binary_scores(df: DataFrame, beta: float = 0.5, label: str = "label", prediction: str = "prediction", weight: str | None = None) -> DataFrame:
+    """One row: accuracy, precision, recall and F-beta of class 1; a row counts ``weight`` times."""
+    cells = df.agg(*[c.alias(n) for n, c in binary_cells(_q(label), _q(prediction), _q(weight) if weight else None).items()])
     precision, recall = ratio(F.col("tp"), F.col("tp") + F.col("fp")), ratio(F.col("tp"), F.col("tp") + F.col("fn"))
     return cells.select(
         ratio(F.col("tp") + F.col("tn"), F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("accuracy"),

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasFeaturesCol, HasInputCol, HasLabelCol, HasOutputCol, HasPredictionCol, HasRawPredictionCol
+from pyspark.ml.param.shared import HasFeaturesCol, HasInputCol, HasLabelCol, HasOutputCol, HasPredictionCol, HasRawPredictionCol, HasWeightCol
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import (
     DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter,
@@ -53,34 +53,43 @@ def _projector(gamma: float, dimensions: int, seed: int):
             )
         return made[size]
 
-    @F.pandas_udf("array<double>")
-    def project(v: pd.DataFrame) -> pd.Series:
-        out = [project_block(v.iloc[i:i + ROWS_AT_ONCE], matrix, dimensions) for i in range(0, len(v), ROWS_AT_ONCE)]
-        return pd.Series([row for block in out for row in block], index=v.index)
+    @F.arrow_udf("array<double>")
+    def project(v: pa.Array) -> pa.Array:
+        out = [project_block(v.slice(i, ROWS_AT_ONCE), matrix, dimensions) for i in range(0, len(v), ROWS_AT_ONCE)]
+        flat = np.concatenate(out).ravel() if out else np.zeros(0)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, dimensions), pa.int32()), pa.array(flat))
 
     return project
 
 
-def project_block(part: pd.DataFrame, matrix, dimensions: int) -> np.ndarray:
+def project_block(part: pa.StructArray, matrix, dimensions: int) -> np.ndarray:
     """One product for all rows of a block, over the columns that any of them has; vectors of one block are of one size."""
-    dense = part["type"].to_numpy() == 1
-    values = [np.asarray(v, dtype=float) for v in part["values"]]
-    places = [np.arange(len(v)) if full else np.asarray(at, dtype=np.int64) for full, v, at in zip(dense, values, part["indices"])]
-    size = len(values[0]) if dense[0] else int(part["size"].iloc[0])
-    weights, shift = matrix(size)
-    used, at = np.unique(np.concatenate(places), return_inverse=True)
+    if part.field("values").null_count:
+        raise ValueError("a row has no vector")
+    dense = part.field("type").to_numpy(zero_copy_only=False) == 1
+    lengths = part.field("values").value_lengths().to_numpy()
+    values, row = part.field("values").flatten().to_numpy(), np.repeat(np.arange(len(part)), lengths)
+    places = np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    places[~dense[row]] = part.field("indices").flatten().to_numpy()  # dense rows have none
+    weights, shift = matrix(int(lengths[0]) if dense[0] else part.field("size")[0].as_py())
+    used, at = np.unique(places, return_inverse=True)
     block = np.zeros((len(part), len(used)))
-    block[np.repeat(np.arange(len(part)), [len(v) for v in values]), at] = np.concatenate(values)
+    block[row, at] = values
     return np.sqrt(2.0 / dimensions) * np.cos(block @ weights[used] + shift)
 
 
-def scale_gamma(df: DataFrame, features: str = "features") -> float:
-    """1 / (number of features * variance of all entries)."""
-    mean, var = df.select(Summarizer.metrics("mean", "variance").summary(F.col(features)).alias("s")).select(
-        "s.mean", "s.variance").first()
-    n = df.count()
-    mean, var = mean.toArray(), var.toArray() * (n - 1) / n
-    total = (var + mean**2).mean() - mean.mean() ** 2
+def scale_gamma(df: DataFrame, features: str = "features", weight: str | None = None) -> float:
+    """1 / (number of features * variance of all entries); a row counts ``weight`` times."""
+    if weight:
+        s, n = df.select(Summarizer.metrics("mean", "normL2").summary(F.col(features), F.col(weight).cast("double")), F.sum(weight)).first()
+        mean, squares = s.mean.toArray(), s.normL2.toArray() ** 2 / n
+    else:
+        mean, var = df.select(Summarizer.metrics("mean", "variance").summary(F.col(features)).alias("s")).select(
+            "s.mean", "s.variance").first()
+        n = df.count()
+        mean = mean.toArray()
+        squares = var.toArray() * (n - 1) / n + mean**2
+    total = squares.mean() - mean.mean() ** 2
     return float(1.0 / (len(mean) * total)) if total > 0 else 1.0
 
 
@@ -106,26 +115,52 @@ class _KernelParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRawPredict
         self._setDefault(gamma=0.0, c=1.0, dimensions=256, maxIter=100, seed=42)
 
 
-class KernelSVM(Estimator, _KernelParams, DefaultParamsReadable, DefaultParamsWritable):
+class KernelSVM(Estimator, _KernelParams, HasWeightCol, DefaultParamsReadable, DefaultParamsWritable):
     """RBF-kernel classifier of two classes: random Fourier features and a linear SVM on them.
 
     It takes the features as they are, so it may be the base of one model a label or a stage of a grid over ``gamma`` and ``c``.
-    Rows without a label are left out of the fit.
+    Rows without a label are left out of the fit. With ``weightCol``, a row stands for as many equal rows, and the fit keeps one
+    row of each kind: the model is that of the rows one by one, see ``_as_single_rows``.
     """
 
     @keyword_only
-    def __init__(self, *, featuresCol="features", labelCol="label", gamma=0.0, c=1.0, dimensions=256, maxIter=100, seed=42):
+    def __init__(self, *, featuresCol="features", labelCol="label", weightCol=None, gamma=0.0, c=1.0, dimensions=256, maxIter=100, seed=42):
         super().__init__()
         self._set_defaults()
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "KernelSVMModel":
         features, label = self.getFeaturesCol(), self.getLabelCol()
-        rows = dataset.select(F.col(f"`{features}`").alias("features"), F.col(f"`{label}`").cast("double").alias("label")).filter("label IS NOT NULL")
-        n, gamma = rows.count(), self.getOrDefault(self.gamma) or scale_gamma(rows)
+        weight = self.getWeightCol() if self.isDefined(self.weightCol) else None
+        columns = [F.col(f"`{features}`").alias("features"), F.col(f"`{label}`").cast("double").alias("label")]
+        rows = dataset.select(*columns, *([F.col(f"`{weight}`").cast("double").alias("weight")] if weight else [])).filter("label IS NOT NULL")
+        gamma = self.getOrDefault(self.gamma) or scale_gamma(rows, weight="weight" if weight else None)
         fourier = RandomFourierFeatures(gamma=gamma, dimensions=self.getOrDefault(self.dimensions), seed=self.getOrDefault(self.seed))
+        mapped = fourier.transform(rows).drop("features")
+        if weight:
+            mapped, n = _as_single_rows(mapped)
+        else:
+            n = rows.count()
         linear = LinearSVC(featuresCol="fourier", regParam=1.0 / (self.getOrDefault(self.c) * max(1, n)), maxIter=self.getOrDefault(self.maxIter))
-        return self._copyValues(KernelSVMModel(linear.fit(fourier.transform(rows).select("fourier", "label")), gamma))
+        return self._copyValues(KernelSVMModel((linear.setWeightCol("weight") if weight else linear).fit(mapped), gamma))
+
+
+def _as_single_rows(rows: DataFrame) -> tuple[DataFrame, float]:
+    """(label, weight, fourier) rows that the linear fit takes as ``weight`` single rows each, and the sum of their weights.
+
+    The fit scales each feature by its deviation, whose divisor is W - (sum of squared weights) / W, with W the sum of the weights; single
+    rows have n - 1. Two rows at the mean, one of each label, make up the difference: they leave mean and squares as they are, and
+    their pulls on the plane cancel for as long as the mean is within the margin. Beyond it they draw the intercept with half their
+    weight, which is about (sum of squared weights) / W in W.
+    """
+    n, squares = rows.agg(F.sum("weight"), F.sum(F.col("weight") ** 2)).first()
+    n, over = n or 0.0, max(0.0, (squares or 0.0) - (n or 0.0))
+    if not over:
+        return rows, n
+    more = 2 * over / (n + 1 + np.sqrt((n + 1) ** 2 + 2 * over))  # then W - squares / W is n - 1
+    mean = rows.select(Summarizer.mean(F.col("fourier"), F.col("weight"))).first()[0]
+    both = rows.sparkSession.createDataFrame([(y, float(more) / 2, mean) for y in (0.0, 1.0)], ["label", "weight", "fourier"])
+    return rows.select("label", "weight", "fourier").union(both.coalesce(1)), float(n + more)
 
 
 class KernelSVMModel(Model, _KernelParams, MLReadable, MLWritable):
