@@ -1,5 +1,6 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, against brute force."""
 
+import contextlib
 import hashlib
 import random
 import re
@@ -90,6 +91,28 @@ def test_repeated_strings_over_cuts(spark, monkeypatch):
     assert sorted(map(tuple, found), key=repr) == removed(rows, 400)
 
 
+def test_many_kinds_with_one_core_are_divided_among_tasks(spark, tmp_path):
+    kinds = spark.range(0, 40000, 1, 16).select(
+        F.when(F.col("id") % 20 > 0, F.lit("core")).otherwise(F.md5(F.col("id").cast("string"))).cast("binary").alias("need"),
+        F.lit(1).cast("long").alias("n"), "id")
+    kinds.write.parquet(f"{tmp_path}/kinds")
+    kinds = spark.read.parquet(f"{tmp_path}/kinds")
+    kinds = kinds.unionByName(kinds.withColumn("id", F.col("id") + 40000))
+    places = kinds.select("id", F.lit(1).alias("weight"), F.lit(True).alias("whole"), "need", F.lit(b"").alias("all"))
+    small = {"adaptive.enabled": "true", "adaptive.skewJoin.enabled": "true", "autoBroadcastJoinThreshold": "-1",
+             "adaptive.autoBroadcastJoinThreshold": "-1", "adaptive.coalescePartitions.enabled": "false", "shuffle.partitions": "16",
+             "adaptive.advisoryPartitionSizeInBytes": "16k", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+             "adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    with contextlib.ExitStack() as held:
+        for key, value in small.items():
+            held.enter_context(common.setting(spark, f"spark.sql.{key}", value))
+        open_ = common.Scratch(spark, "test").keep(suffix_dedup._open(kinds), "open")
+        assert open_.count() == 2001  # each other need has its kind and the kind's copy
+        found = suffix_dedup._to_cut(places, kinds, open_)
+        assert len(found.collect()) == 80000
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_suffix_levels_merge_geometrically(spark, docs):
     family = suffix_dedup.SuffixFamily(spark, 60, 32)
     seen = []
