@@ -21,27 +21,30 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are linked to the smallest of them. Edges go from larger to smaller."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    linked = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
+    return edges.join(least, "u").select(linked.alias("e")).select("e.u", "e.v").filter("u > v").distinct()
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is either linked to one smaller node only, or has larger neighbours only."""
+    ends = edges.select(F.col("u").alias("node"), F.col("v").alias("to")).union(edges.select("v", F.lit(None).cast("long")))
+    nodes = ends.groupBy("node").agg(F.min("to").alias("low"), F.max("to").alias("high"), F.max(F.col("to").isNull()).alias("centre"))
+    return nodes.filter("low <> high OR (centre AND low IS NOT NULL)").agg(F.count("*")).first()[0] == 0
 
 
 def components(links: DataFrame, scratch: Scratch, label: str = "stars") -> DataFrame:
     """(node, component) of every node on a link; the component is its smallest node.
 
     ``links`` has columns ``a`` and ``b``. Alternating stars need a logarithmic number of rounds in practice; each round's
-    edges are written to shared storage. A node with very many links is only ever the unique side of a join.
+    edges are written to shared storage, and the rounds end when they are stars, which may be at the start. A node with very many links is only ever the unique side of a join.
     """
     edges = scratch.keep(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
                          f"{label}-0")
-    before, turn = None, 0
-    while True:
+    turn = 0
+    while not _are_stars(edges):
         turn += 1
         after = scratch.keep(_small_star(_large_star(edges)), f"{label}-{turn}")
-        state = tuple(after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         scratch.drop(f"{label}-{turn - 1}")
         edges = after
-        if state == before:
-            break
-        before = state
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -177,8 +177,8 @@ def _links_across(placed: DataFrame, sizes: DataFrame, sets: DataFrame, percent:
     meet = placed.join(blocks.select("rep", "block"), "rep").groupBy("key", "block").agg(
         F.min("component").alias("low"), F.max("component").alias("high"))
     other = meet.select("key", F.col("block").alias("other"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
-    pairs = (meet.join(other, "key").filter("block <= other AND least(low, other_low) < greatest(high, other_high)")
-             .select("block", "other").distinct())
+    pairs = scratch.keep(meet.join(other, "key").filter("block <= other AND least(low, other_low) < greatest(high, other_high)")
+                         .select("block", "other").distinct(), "block-pairs")
     held = blocks.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
     columns = ["block", "other", "side", "rep", "component", "elements"]
     left = pairs.join(held, "block").withColumn("side", F.lit(0)).select(columns)
@@ -195,7 +195,8 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     scratch = Scratch(documents.sparkSession, "near-dup")
     rows = scratch.keep(sketches(documents, id_column, text_column, width, bands, rows_per_band), "sketches")
     full = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = full.groupBy("low", "high").agg(F.min("doc_id").alias("rep"))
+    # stored: it is joined twice, and beside an aggregate Spark does not divide a key of very many copies
+    classes = scratch.keep(full.groupBy("low", "high").agg(F.min("doc_id").alias("rep")), "classes")
     member = scratch.keep(full.select("doc_id", "low", "high").join(classes, ["low", "high"]).select("doc_id", "rep").distinct(),
                           "members")
     # a document with several sets joins their classes
@@ -207,7 +208,7 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     keyed = scratch.keep(reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n")), "keys")
     buckets = keyed.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a <> z").select("key", "a")
     shared = scratch.keep(keyed.join(buckets, "key"), "buckets")
-    scratch.drop("keys")
+    scratch.drop("keys", "classes")
     sizes = scratch.keep(shared.select("rep", "n").distinct(), "sizes")
 
     def sized(pairs: DataFrame) -> DataFrame:
@@ -230,7 +231,7 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     more = scratch.keep(_links_across(placed, sizes, sets, percent, scratch), "more-links")
     parts = scratch.keep(components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), scratch, "second"),
                          "components")
-    scratch.drop("buckets", "sizes", "sets", "pairs", "links", "parts", "placed", "blocks", "more-links")
+    scratch.drop("buckets", "sizes", "sets", "pairs", "links", "parts", "placed", "blocks", "block-pairs", "more-links")
 
     ends = member.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").groupBy("doc_id").agg(
         F.min(F.coalesce("component", "rep")).alias("component"))

@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -52,7 +53,7 @@ class OrdinalModel(NamedTuple):
         return sum(above), above[0] if above else 0.0
 
 
-def fit_ordinal(rows: list[tuple[int, list[int], list[float]]], features: int, grades: int, steps: int = 400,
+def fit_ordinal(rows: list[tuple[int, Sequence[int], Sequence[float]]], features: int, grades: int, steps: int = 400,
                 penalty: float = 1e-5, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds that maximise the penalised likelihood of (grade, indices, values), by Adam steps."""
     y = np.array([r[0] for r in rows])
@@ -85,6 +86,18 @@ def fit_ordinal(rows: list[tuple[int, list[int], list[float]]], features: int, g
     return p[:features], thresholds(p)
 
 
+def in_order(sample: pa.Table) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The rows (label, marks, at, value) in the order of their values, which are not negative; the lists are views of Arrow buffers."""
+    columns = []
+    for name in ("at", "value"):
+        lists = [chunk for chunk in sample.column(name).chunks if len(chunk)]
+        columns.append([row for chunk in lists for row in np.split(chunk.flatten().to_numpy(), np.cumsum(chunk.value_lengths().to_numpy())[:-1])])
+    rows = list(zip(sample.column("label").to_pylist(), sample.column("marks").to_pylist(), *columns))
+    # the bytes of such numbers, the highest first, sort as the numbers do
+    rows.sort(key=lambda r: (r[0], r[1], r[2].astype(">i4").tobytes(), r[3].astype(">f8").tobytes()))
+    return rows
+
+
 def labelled_documents(documents: DataFrame, labels: DataFrame, id_column: str, text_column: str, label_column: str,
                        max_labelled: int) -> tuple[DataFrame, dict[int, int], dict[int, int]]:
     """doc_id, text, label of at most ``max_labelled`` labelled documents, of each label the first ones by a hash of the id.
@@ -146,8 +159,8 @@ def fit(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text
                 [out["label"], pa.array(out["marks"], pa.int64()), pa.array(out["at"], pa.list_(pa.int32())),
                  pa.array(out["value"], pa.list_(pa.float64()))], names=list(out))
 
-    # at most max_labelled rows of at most `features` numbers come to the driver, in a fixed order
-    sample = sorted(map(tuple, rows.mapInArrow(counted, "label int, marks long, at array<int>, value array<double>").collect()))
+    # at most max_labelled rows of at most `features` numbers come to the driver
+    sample = in_order(rows.mapInArrow(counted, "label int, marks long, at array<int>, value array<double>").toArrow())
     if len(totals) == 2 and set(totals) == {0, 1}:
         some = sorted(m for y, m, _, _ in sample if y and m)
         middle = some[len(some) // 2] if some else math.inf

@@ -15,7 +15,7 @@ pytest.importorskip("tallyforge.llm")
 from pyspark.sql import functions as F  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from tallyforge.llm import chat, common, fingerprints, mixing, near_dup, pieces, secrets, suffix_dedup, topk, toxicity, warc  # noqa: E402
+from tallyforge.llm import chat, common, components, fingerprints, mixing, near_dup, pieces, secrets, suffix_dedup, topk, toxicity, warc  # noqa: E402
 from tallyforge.llm.queries import LLM_QUERIES  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
@@ -146,6 +146,46 @@ def test_near_duplicates(spark, docs, none, width):
         assert near_dup.near_duplicates(none).collect() == []
 
 
+@pytest.mark.parametrize("shape, rounds", [("stars", 0), ("none", 0), ("path", 5), ("ties", 5)])
+def test_components_end_when_edges_are_stars(spark, monkeypatch, shape, rounds):
+    rng = random.Random(8)
+    links = {"stars": [(5, i) for i in range(6, 60)] + [(70, 71)], "none": [], "path": [(i, i + 1) for i in range(30)],
+             "ties": [(a, a + rng.randint(1, 9)) for a in range(0, 400, 3) for _ in range(3)] + [(7, 7), (2, 0), (0, 2)]}[shape]
+    least = {x: x for link in links if link[0] != link[1] for x in link}
+    for _ in least:
+        for a, b in links:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+    written, keep = [], common.Scratch.keep
+    monkeypatch.setattr(common.Scratch, "keep", lambda self, df, name: (written.append(name), keep(self, df, name))[1])
+    found = components.components(spark.createDataFrame(links, "a long, b long"), common.Scratch(spark, "test")).collect()
+    assert sorted(map(tuple, found)) == sorted(least.items())
+    assert len(written) <= 1 + rounds and written[0] == "stars-0"
+
+
+def test_copies_of_one_text_are_divided_among_tasks(spark, monkeypatch):
+    docs = spark.range(0, 20000, 1, 8).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4 > 0, "one very common text").otherwise(
+        F.concat(F.lit("own words "), F.col("id").cast("string"))).alias("text"))
+    plans, keep = {}, common.Scratch.keep
+
+    def kept(self, df, name):
+        if name == "members":
+            df.collect()
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(self, df, name)
+
+    monkeypatch.setattr(common.Scratch, "keep", kept)
+    small = {"adaptive.enabled": "true", "adaptive.skewJoin.enabled": "true", "autoBroadcastJoinThreshold": "-1",
+             "adaptive.autoBroadcastJoinThreshold": "-1", "adaptive.coalescePartitions.enabled": "false", "shuffle.partitions": "16",
+             "adaptive.advisoryPartitionSizeInBytes": "16k", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+             "adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    with contextlib.ExitStack() as held:
+        for key, value in small.items():
+            held.enter_context(common.setting(spark, f"spark.sql.{key}", value))
+        found = near_dup.near_duplicates(docs).filter("component_id = 1").count()
+    assert found == 15000 and "skew=true" in plans["members"]
+
+
 @pytest.mark.parametrize("bounds", [(2, 100), (256, 200000), (5, 30)])
 def test_links_across_components_in_blocks(spark, bounds):
     r = random.Random(9)
@@ -309,6 +349,16 @@ def test_toxicity_held_out(spark, none):
     assert [r.rejected for r in toxicity.score(extra, model).collect()] == [False, False]
 
 
+def test_the_sample_of_the_fit_is_in_order_and_holds_no_python_numbers(spark):
+    rng = random.Random(4)
+    rows = [(rng.randint(0, 2), rng.randint(0, 3), sorted(rng.sample(range(400), n)), [1 + rng.choice([0.0, 0.7, 1.1]) for _ in range(n)])
+            for n in [rng.choice([0, 1, 1, 2, 5]) for _ in range(300)]] * 2
+    frame = spark.createDataFrame(rows, "label int, marks long, at array<int>, value array<double>").repartition(5)
+    found = toxicity.in_order(frame.toArrow())
+    assert [(y, m, at.tolist(), value.tolist()) for y, m, at, value in found] == sorted(rows)
+    assert all(x.base is not None for row in found for x in row[2:])
+
+
 def test_mixing_budgets(spark, none):
     rows = [(1, "a", "s1", 100), (2, "a", "s2", 1000), (3, "b", "s3", 5000)]
     leaves = spark.createDataFrame([(a, s, t) for _, a, s, t in rows], "lang string, source string, tokens long")
