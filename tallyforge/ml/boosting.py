@@ -15,9 +15,12 @@ from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCo
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, functions as F
 
-from ..workspace import cut_lineage
+from ..workspace import cut_lineage, stored
+from . import trees as T
 
 EPS = float(np.finfo(float).eps)
+#: Longest vectors that are handed over as numbers, and classes that a tree may have.
+WIDEST, MOST_CLASSES = 512, 100
 
 
 class _BoostParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRawPredictionCol):
@@ -32,8 +35,8 @@ class _BoostParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRawPredicti
 class AdaBoostClassifier(Estimator, _BoostParams):
     """Each round fits a weighted tree and raises the weight of the rows it gets wrong.
 
-    The scored rows are cached between rounds and checkpointed every ``checkpointInterval``
-    rounds, so a round costs one tree and a lost executor costs a few rounds, not all.
+    A row's weight follows from the trees so far and is written beside it every ``checkpointInterval`` rounds, so that no rows are
+    cached: executors hold a batch of rows and the sums of the open nodes (see ``trees``).
     """
 
     @keyword_only
@@ -44,17 +47,24 @@ class AdaBoostClassifier(Estimator, _BoostParams):
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "AdaBoostModel":
-        features, label = self.getFeaturesCol(), self.getLabelCol()
+        return fit_together([self], dataset)[0]
+
+    def fit_together(self, estimators: list["AdaBoostClassifier"], dataset: DataFrame) -> list["AdaBoostModel"]:
+        return fit_together(estimators, dataset)
+
+    def _learner(self) -> DecisionTreeClassifier:
+        return DecisionTreeClassifier(maxDepth=self.getOrDefault(self.maxDepth), weightCol="w", seed=self.getOrDefault(self.seed))
+
+    def _rows(self, dataset: DataFrame) -> DataFrame:
+        return dataset.select(F.col(self.getFeaturesCol()).alias("features"), F.col(self.getLabelCol()).cast("double").alias("label"))
+
+    def _fit_wide(self, dataset: DataFrame) -> "AdaBoostModel":
+        """With Spark's own learner, for vectors too long to be handed over as rows of numbers."""
         rate, algorithm = self.getOrDefault(self.learningRate), self.getOrDefault(self.algorithm)
-        if algorithm not in ("SAMME", "SAMME.R"):
-            raise ValueError(f"algorithm must be SAMME or SAMME.R, not {algorithm!r}")
-        rows = dataset.select(F.col(features).alias("features"), F.col(label).cast("double").alias("label"))
-        rows = rows.withColumn("w", F.lit(1.0)).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = self._rows(dataset).withColumn("w", F.lit(1.0)).persist(StorageLevel.MEMORY_AND_DISK)
         n, top = rows.agg(F.count(F.lit(1)), F.max("label")).first()
         classes = int(top) + 1 if top else 2
-        learner = DecisionTreeClassifier(
-            maxDepth=self.getOrDefault(self.maxDepth), weightCol="w", seed=self.getOrDefault(self.seed)
-        )
+        learner = self._learner()
         trees, alphas, done = [], [], rows  # done: what the rows are read from
         for turn in range(1, self.getOrDefault(self.rounds) + 1):
             tree = learner.fit(rows)
@@ -83,11 +93,109 @@ class AdaBoostClassifier(Estimator, _BoostParams):
             if turn % self.getOrDefault(self.checkpointInterval) == 0:
                 rows = cut_lineage(rows)
         done.unpersist()
+        return self._model(trees, alphas, classes)
+
+    def _model(self, trees: list, alphas: list[float], classes: int) -> "AdaBoostModel":
         if not trees:
             raise ValueError("the first tree is no better than chance")
         return self._copyValues(AdaBoostModel(trees, alphas, classes))
 
 
+class _Fit:
+    """One boosted model while its trees grow. ``past``: the steps that are not in the stored weights; ``due``: weights are to be stored."""
+
+    def __init__(self, estimator: AdaBoostClassifier, place: int, rows: T.Rows, sample: tuple, n: int, classes: int):
+        self.estimator, self.place, self.rows, self.n, self.classes = estimator, place, rows, n, classes
+        self.past, self.due, self.model = [], False, None
+        self.x, self.y, self.share = sample
+        self.w, self.whole = np.ones(len(self.x)), float(n)  # weights of the sample, and of all rows
+        self.turns = self.run()
+        self.request = next(self.turns)
+
+    def answer(self, sums: dict) -> None:
+        try:
+            self.request = self.turns.send(sums)
+        except StopIteration:
+            self.request = None
+
+    def run(self):
+        e, spark, classes = self.estimator, self.rows.spark, self.classes
+        rate, algorithm, learner = e.getOrDefault(e.learningRate), e.getOrDefault(e.algorithm), e._learner()
+        trees, alphas = [], []
+        for turn in range(1, e.getOrDefault(e.rounds) + 1):
+            bins = min(T.BINS, self.n)
+            edges = [T._edges(self.x[:, f], self.w, bins, self.share * self.whole) for f in range(self.rows.width)]
+            root = T.prune((yield from T.grow(self.place, self.past, edges, classes, e.getOrDefault(e.maxDepth))))
+            nodes = T.listed(root)
+            sums = np.array([np.zeros(classes) if node.children else node.plain for node in nodes])  # of the leaves
+            hit = np.eye(classes)[[node.prediction for node in nodes]]
+            lost, total = (sums * (1 - hit)).sum(), sums.sum()
+            error = lost / total
+            tree = T.spark_model(spark, learner, root, self.rows.width, classes)
+            if error <= 0:
+                trees, alphas = trees + [tree], alphas + [1.0]
+                break
+            if algorithm == "SAMME":
+                if error >= 1 - 1 / classes:
+                    break
+                alpha = rate * (math.log((1 - error) / error) + math.log(classes - 1))
+                factor = np.exp(alpha * (1 - hit))
+            else:
+                alpha = 1.0
+                stats = np.array([node.stats for node in nodes])
+                logs = np.log(np.maximum(stats / np.maximum(stats.sum(1), EPS)[:, None], EPS))
+                margin = logs - (logs.sum(1)[:, None] - logs) / (classes - 1)
+                factor = np.exp(-rate * (classes - 1) / classes * margin)
+            trees, alphas = trees + [tree], alphas + [alpha]
+            step = T.Step(T.arrays(nodes), factor, self.n / total)
+            self.w, self.whole = T.weigh([step], self.x, self.y, self.w), (sums * factor).sum() * step.scale
+            self.past = [*self.past, step]
+            self.due = turn % e.getOrDefault(e.checkpointInterval) == 0
+        self.model = e._model(trees, alphas, classes)
+
+
+def fit_together(estimators: list[AdaBoostClassifier], dataset: DataFrame) -> list["AdaBoostModel"]:
+    """The models of all estimators, which read the same columns of the same rows: they share every pass over them."""
+    for e in estimators:
+        if e.getOrDefault(e.algorithm) not in ("SAMME", "SAMME.R"):
+            raise ValueError(f"algorithm must be SAMME or SAMME.R, not {e.getOrDefault(e.algorithm)!r}")
+    if len({(e.getFeaturesCol(), e.getLabelCol()) for e in estimators}) > 1:
+        return [m for e in estimators for m in fit_together([e], dataset)]
+    one = estimators[0]
+    with stored(one._rows(dataset), "boost-rows") as rows:
+        label = F.col("label")
+        plain = (label >= 0) & (label == F.floor(label)) & F.col("features").isNotNull()
+        first = rows.select("features").first()
+        width = len(first.features) if first and first.features is not None else 0
+        if not 0 < width <= WIDEST or _has_kinds(rows):
+            return [e._fit_wide(dataset) for e in estimators]
+        n, top, good = rows.agg(F.count(F.lit(1)), F.max("label"), F.count_if(plain)).first()
+        if good < n or not top or top >= MOST_CLASSES:  # what Spark's learner makes of them
+            return [e._fit_wide(dataset) for e in estimators]
+        read = T.Rows(rows, width, len(estimators))
+        samples = {}
+        for seed in {e.getOrDefault(e.seed) for e in estimators}:
+            samples[seed] = read.sample(n, seed)
+        try:
+            fits = [_Fit(e, i, read, samples[e.getOrDefault(e.seed)], n, int(top) + 1) for i, e in enumerate(estimators)]
+            while waiting := [f for f in fits if f.request]:
+                if any(f.due for f in waiting):
+                    read.store([f.past for f in fits])
+                    for f in fits:
+                        f.past.clear()  # also those of the request that waits
+                        f.due = False
+                for f, sums in zip(waiting, read.sums([f.request for f in waiting])):
+                    f.answer(sums)
+        finally:
+            read.close()
+        return [f.model for f in fits]
+
+
+def _has_kinds(rows: DataFrame) -> bool:
+    """Features that are marked as categories."""
+    return bool({"nominal", "binary"} & set(rows.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})))
+
+
 def _log_probability():
     return F.transform(vector_to_array("probability"), lambda p: F.log(F.greatest(p, F.lit(EPS))))
 
