@@ -1,3 +1,5 @@
+from contextlib import contextmanager
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
@@ -5,7 +7,9 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from tallyforge.catalog import models as M
 from tallyforge.functions.text import tally
+from tallyforge.ml import bayesgrid as B
 from tallyforge.ml import models as Mo
 from tallyforge.ml import neighbours as N
 from tallyforge.ml import prep as Pr
@@ -99,3 +103,32 @@ def test_a_fitted_ranking_is_scored_and_a_grid_may_go_without_a_last_fit(spark,
     fits.clear()
     found = Tu.grid_search(forest, [{forest.maxDepth: 1}, {forest.maxDepth: 2}], BinaryClassificationEvaluator(), table, "id", folds=2, refit=False)
     assert found[0] is None and len(fits) == 4
+
+
+def test_pairs_are_worked_off_in_lots_and_give_the_same_scores(spark, monkeypatch):
+    base, table = NaiveBayes(), rows(spark)
+    pipeline = message_model(base, LABELS, parallelism=1)
+    grid = message_grid(pipeline, {base.smoothing: (0.1,)}, ngrams=(1,), max_df=(0.7,), max_features=(12,))
+    want = bayes_grid(pipeline, grid, table, "id", folds=3).orderBy("setting").collect()
+    monkeypatch.setattr(B, "PAIRS_AT_ONCE", 350)
+    held, most, real = [], [], B.kept
+
+    @contextmanager
+    def kept(df, label, *by):
+        with real(df, label, *by) as out:
+            held.append(label)
+            most.append(held.count("placed"))
+            yield out
+            held.remove(label)
+
+    monkeypatch.setattr(B, "kept", kept)
+    got = bayes_grid(pipeline, grid, table, "id", folds=3).orderBy("setting").collect()
+    assert [r.mean_score for r in got] == pytest.approx([r.mean_score for r in want], abs=1e-12)
+    assert max(most) == 1 and len(most) > 9 and not held
+
+
+def test_message_grid_fits_all_labels(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(M, "bayes_grid", lambda pipeline, grid, train, *_, **__: seen.append((pipeline.getStages()[-1].labels, train.columns)))
+    M.message_grid(spark, "/root/testdata/sf0.001")
+    assert seen == [(M.LABELS, ["id", "message", *M.LABELS])]
